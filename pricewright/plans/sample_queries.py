@@ -503,7 +503,11 @@ def score_batch(spark, folder):
 def score_stream(spark, folder):
     model, stage = _scoring_model(spark, folder)
     lineitem = spark.read.parquet(f"{folder}/lineitem.parquet")
-    stream = spark.readStream.schema(lineitem.schema).parquet(f"{folder}/lineitem.parquet")
+    stream = (
+        spark.readStream.schema(lineitem.schema)
+        .option("pathGlobFilter", "lineitem.parquet")
+        .parquet(folder)
+    )
     requests = sample_requests(sample_items(stream), sample_star(spark, folder))
     output = stage.path("scored")
     start_scoring(
