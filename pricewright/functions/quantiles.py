@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-# Buckets per unit of ln(1 + |value|): about 0.1 % of the value wide each.
-BUCKETS_PER_LOG_UNIT = 1024
-
-
-def _bucket(value: Column) -> Column:
-    # Non-decreasing in value, and at most 710 * 1024 * 2 + 1 buckets over all doubles.
-    # Declared non-null so that no null filter is pushed into one of the two uses of the
-    # counts: both then share one scan and one shuffle.
-    steps = F.signum(value) * F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_LOG_UNIT)
-    return F.coalesce(steps.cast("bigint"), F.lit(0).cast("bigint"))
+# Buckets per unit of ln(1 + |value|), each about 0.1 % of its value wide. The bucket number
+# never decreases with the value, and all doubles together have at most
+# 2 * 710 * BUCKETS + 1 of them.
+BUCKETS = 1024
+_BUCKET = f"signum(value) * floor(log1p(abs(value)) * {BUCKETS})"
+_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def exact_quantiles(df: DataFrame, targets: dict[str, tuple[str, float]]) -> DataFrame:
@@ -23,77 +17,62 @@ def exact_quantiles(df: DataFrame, targets: dict[str, tuple[str, float]]) -> Dat
 
     Linear interpolation between the two nearest ranks; null and NaN are skipped; a column
     without values gives null. The built-in ``percentile`` keeps every distinct value of the
-    table in one task. Here rows are first counted per value (combined before the shuffle),
-    counts are summed per bucket, and only the buckets that hold a wanted rank, at most two
-    per target, are opened. The one ordered pass over all buckets has a fixed upper bound.
+    table in one task, and sorting would shuffle every row. Here a first scan counts rows per
+    bucket of values, combined before the shuffle, and a running total over the buckets
+    (their number has a fixed bound) finds those that hold a wanted rank: at most two per
+    target. A second scan keeps the rows of those buckets only and ranks their values. Both
+    scans read just the target columns; give it a written table rather than a long plan.
     """
     columns = list(dict.fromkeys(column for column, _ in targets.values()))
-    pairs = [
-        F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("value")) for c in columns
-    ]
-    counts = (
-        df.select(F.inline(F.array(*pairs)))
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("series", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", _bucket(F.col("value")))
+    series = {
+        name: (columns.index(column), f"(total - 1) * {float(p)!r}D")
+        for name, (column, p) in targets.items()
+    }
+    pairs = ", ".join(
+        f"struct({i} AS series, CAST(`{c}` AS DOUBLE) AS value)" for i, c in enumerate(columns)
     )
-
-    series = Window.partitionBy("series")
-    before = series.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    start, n, total = F.col("start"), F.col("bucket_n"), F.col("total")
-    buckets = (
-        counts.groupBy("series", "bucket")
-        .agg(F.sum("n").alias("bucket_n"))
-        .withColumns(
-            {
-                "start": F.coalesce(F.sum("bucket_n").over(before), F.lit(0)),
-                "total": F.sum("bucket_n").over(series),
-            }
-        )
+    values = (
+        df.selectExpr(f"inline(array({pairs}))")
+        .where("value IS NOT NULL AND NOT isnan(value)")
+        .withColumn("bucket", F.expr(_BUCKET))
     )
-
-    def rank(p: float) -> Column:
-        return (F.col("total") - 1) * F.lit(float(p))
-
-    wanted = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col("series") == column)
-            & (F.floor(rank(p)) < start + n)
-            & (F.ceil(rank(p)) >= start)
-            for column, p in targets.values()
-        ],
+    holds_wanted_rank = " OR ".join(
+        f"(series = {i} AND floor({rank}) < start + rows AND ceil({rank}) >= start)"
+        for i, rank in series.values()
     )
-    opened = buckets.filter(wanted).select("series", "bucket", "start", "total")
-
-    inside = (
-        Window.partitionBy("series", "bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    opened = (
+        values.groupBy("series", "bucket")
+        .agg(F.expr("count(*) AS rows"))
+        .selectExpr(
+            "series",
+            "bucket",
+            "rows",
+            f"coalesce(sum(rows) OVER (PARTITION BY series ORDER BY bucket {_BEFORE}), 0) AS start",
+            "sum(rows) OVER (PARTITION BY series) AS total",
+        )
+        .where(holds_wanted_rank)
+        .drop("rows")
     )
     ranked = (
         # At most two buckets per target, whatever the size of the table.
-        counts.join(F.broadcast(opened), ["series", "bucket"])
-        .withColumn("first", start + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .withColumn("last", F.col("first") + F.col("n") - 1)
-    )
-
-    def pick(column: str, at: Column) -> Column:
-        hit = (F.col("series") == column) & at.between(F.col("first"), F.col("last"))
-        return F.max(F.when(hit, F.col("value")))
-
-    aggregates, results = [], []
-    for name, (column, p) in targets.items():
-        low, high, part = f"{name}__low", f"{name}__high", f"{name}__part"
-        aggregates += [
-            pick(column, F.floor(rank(p))).alias(low),
-            pick(column, F.ceil(rank(p))).alias(high),
-            F.max(
-                F.when(F.col("series") == column, rank(p) - F.floor(rank(p)))
-            ).alias(part),
-        ]
-        results.append(
-            (F.col(low) + (F.col(high) - F.col(low)) * F.col(part)).alias(name)
+        values.join(F.broadcast(opened), ["series", "bucket"])
+        .groupBy("series", "bucket", "start", "total", "value")
+        .agg(F.expr("count(*) AS rows"))
+        .selectExpr(
+            "series",
+            "total",
+            "value",
+            "rows",
+            "start + coalesce(sum(rows) OVER (PARTITION BY series, bucket ORDER BY value "
+            f"{_BEFORE}), 0) AS first",
         )
-    return ranked.agg(*aggregates).select(*results)
+    )
+    found = []
+    for name, (i, rank) in series.items():
+        for end in ("floor", "ceil"):
+            hit = f"series = {i} AND {end}({rank}) >= first AND {end}({rank}) < first + rows"
+            found.append(F.expr(f"max(IF({hit}, value, NULL)) AS {name}__{end}"))
+        found.append(F.expr(f"max(IF(series = {i}, ({rank}) % 1, NULL)) AS {name}__part"))
+    return ranked.agg(*found).selectExpr(
+        *[f"{n}__floor + ({n}__ceil - {n}__floor) * {n}__part AS {n}" for n in series]
+    )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import schemas
 from ..functions.features import with_calendar_features, with_physical_features
@@ -56,9 +58,20 @@ def engineer(facts: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     )
 
 
+def _without_missing(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows in which no named column is null or NaN.
+
+    One condition per column, unlike ``na.drop``: the scan then gets the null tests.
+    """
+    present = [F.col(name).isNotNull() for name in columns]
+    doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
+    present += [~F.isnan(name) for name in columns if name in doubles]
+    return df.filter(reduce(lambda a, b: a & b, present))
+
+
 def complete_rows(df: DataFrame) -> DataFrame:
     """Rows in which no numeric feature and no price is missing."""
-    return df.na.drop("any", subset=schemas.NUMERIC_BASE + ["price"])
+    return _without_missing(df, schemas.NUMERIC_BASE + ["price"])
 
 
 def clean(engineered: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
@@ -90,7 +103,7 @@ def full_category_means(facts: DataFrame) -> DataFrame:
 
 def complete_baseline_rows(df: DataFrame) -> DataFrame:
     """Rows in which none of the older features, categories included, is missing."""
-    return df.na.drop("any", subset=schemas.BASELINE_FEATURES + ["price"])
+    return _without_missing(df, schemas.BASELINE_FEATURES + ["price"])
 
 
 def clean_baseline(

@@ -49,18 +49,35 @@ def test_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("split") == "test")
 
 
-def global_avg_price(df: DataFrame) -> DataFrame:
+def train_price_totals(df: DataFrame) -> DataFrame:
+    """Training rows, price sum and log price sum per (category, seller) pair.
+
+    The training rows are read once for all three encodings, and combined before the
+    shuffle: no category or seller reaches a task as raw rows.
+    """
+    return (
+        train_rows(df)
+        .groupBy("product_category_name_english", "seller_id")
+        .agg(
+            F.count("label").alias("rows"),
+            F.sum("label").alias("label_sum"),
+            F.sum(price_of(F.col("label"))).alias("price_sum"),
+        )
+    )
+
+
+def global_avg_price(totals: DataFrame) -> DataFrame:
     """Back-transformed mean log price of the training rows (not the arithmetic mean)."""
-    return train_rows(df).agg(price_of(F.avg("label")).alias("global_avg_price"))
+    mean = F.try_divide(F.sum("label_sum"), F.sum("rows"))
+    return totals.agg(price_of(mean).alias("global_avg_price"))
 
 
-def train_price_means(df: DataFrame, key: str, name: str) -> DataFrame:
+def train_price_means(totals: DataFrame, key: str, name: str) -> DataFrame:
     """Mean price per key over the training rows only."""
     return (
-        train_rows(df)
-        .filter(F.col(key).isNotNull())
+        totals.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.avg(price_of(F.col("label"))).alias(name))
+        .agg(F.try_divide(F.sum("price_sum"), F.sum("rows")).alias(name))
     )
 
 
@@ -86,19 +103,17 @@ class TargetEncodings:
         )
 
 
-def fit_encodings(df: DataFrame, stage: Stage | None = None) -> TargetEncodings:
-    """Category and seller averages of the training rows.
-
-    With a stage the lookups are written, so their size is known when they are joined.
-    """
-    category = train_price_means(df, "product_category_name_english", "category_avg_price")
-    seller = train_price_means(df, "seller_id", "seller_avg_price")
-    fallback = global_avg_price(df)
-    if stage is not None:
-        category = stage.table(category, "category_avg_price")
-        seller = stage.table(seller, "seller_avg_price")
-        fallback = stage.table(fallback, "global_avg_price")
-    return TargetEncodings(category, seller, fallback)
+def fit_encodings(df: DataFrame, stage: Stage) -> TargetEncodings:
+    """Category and seller averages of the training rows, written so that their size is
+    known where they are joined."""
+    totals = stage.table(train_price_totals(df), "train_price_totals")
+    category = train_price_means(totals, "product_category_name_english", "category_avg_price")
+    seller = train_price_means(totals, "seller_id", "seller_avg_price")
+    return TargetEncodings(
+        category=stage.table(category, "category_avg_price"),
+        seller=stage.table(seller, "seller_avg_price"),
+        fallback=global_avg_price(totals),
+    )
 
 
 def level_counts(df: DataFrame, columns: list[str]) -> DataFrame:

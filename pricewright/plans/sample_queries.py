@@ -320,7 +320,7 @@ def target_roundtrip(spark, folder):
 @query
 def global_avg_price(spark, folder):
     rows, _ = _split(spark, folder)
-    return comparable(encode.global_avg_price(rows))
+    return comparable(encode.global_avg_price(encode.train_price_totals(rows)))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .star import StarSchema
+from .star import StarSchema, one_task_per_core
 
 
 def sample_items(lineitem: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def sample_star(spark: SparkSession, folder: str) -> StarSchema:
         .selectExpr("s_suppkey AS seller_id", "n_name AS seller_state")
     )
     return StarSchema(
-        items=sample_items(lineitem),
+        items=sample_items(one_task_per_core(lineitem)),
         products=products,
         translation=translation,
         orders=orders,

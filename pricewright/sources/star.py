@@ -37,6 +37,17 @@ def _typed(table: str, header: list[str]) -> T.StructType:
     return T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in header])
 
 
+def one_task_per_core(df: DataFrame) -> DataFrame:
+    """Spread a file scan over all cores when its files give fewer tasks than that.
+
+    A scan with fewer tasks than cores reads at most one split per core, so what this
+    shuffles is small by construction; a large scan is returned as it is. For plain scans
+    only: asking anything else for its tasks may run part of it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_csv_table(spark: SparkSession, table: str, path: str, mode: str = "FAILFAST") -> DataFrame:
     """Read one CSV table with its declared types, whatever the order of its columns.
 
@@ -75,6 +86,7 @@ def read_star(
         read = {t: read_parquet_table(spark, t, f"{folder}/{t}.parquet") for t in tables}
     else:
         raise ValueError(f"unknown format {fmt!r}")
+    read["items"] = one_task_per_core(read["items"])
     return StarSchema(**read)
 
 
