@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import schemas
@@ -11,6 +9,8 @@ from ..functions.features import with_calendar_features, with_physical_features
 from ..functions.quantiles import exact_quantiles
 
 IMPUTED = ["product_avg_review", "seller_avg_review", "max_installments"]
+# Columns that are missing only when another numeric feature is.
+IMPLIED = {"density", "shipping_ratio", "complexity_score", "is_weekend", "is_peak_season"}
 OUTLIER_BOUNDS = {"low": ("price", 0.01), "high": ("price", 0.99)}
 
 
@@ -61,12 +61,15 @@ def engineer(facts: DataFrame, medians: DataFrame | None = None) -> DataFrame:
 def _without_missing(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows in which no named column is null or NaN.
 
-    One condition per column, unlike ``na.drop``: the scan then gets the null tests.
+    One condition per column, unlike ``na.drop``: the scan then gets the null tests. Derived
+    columns whose inputs are tested anyway are left out, which keeps the generated filter
+    below the size up to which the JVM compiles a method.
     """
-    present = [F.col(name).isNotNull() for name in columns]
+    columns = [name for name in columns if name not in IMPLIED]
     doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    present += [~F.isnan(name) for name in columns if name in doubles]
-    return df.filter(reduce(lambda a, b: a & b, present))
+    present = [f"`{name}` IS NOT NULL" for name in columns]
+    present += [f"NOT isnan(`{name}`)" for name in columns if name in doubles]
+    return df.where(" AND ".join(present))
 
 
 def complete_rows(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ ITEM_KEY = ["order_id", "order_item_id", "product_id", "seller_id"]
 
 def item_key(columns: list[str] | None = None) -> Column:
     """Text identity of a sold item; a price in cents separates otherwise equal rows."""
-    cents = F.round(F.col("price") * 100).cast("bigint").cast("string")
+    cents = F.rint(F.col("price") * 100).cast("bigint").cast("string")
     return F.concat_ws("|", *(columns or ITEM_KEY), cents)
 
 
