@@ -1,0 +1,134 @@
+"""Plans and results when nothing fits a broadcast and one key holds a third of the rows."""
+
+from __future__ import annotations
+
+from contextlib import contextmanager
+
+import pytest
+
+from pricewright.functions.quantiles import exact_quantiles
+from pricewright.operators import clean, encode
+from pricewright.operators.facts import build_facts
+from pricewright.sources.star import StarSchema
+
+
+@contextmanager
+def settings(spark, **values):
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+SMALL_CLUSTER = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "40KB",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
+@pytest.fixture(scope="module")
+def hot_star(spark):
+    n = 60_000
+    items = spark.range(0, n, 1, 16).selectExpr(
+        "IF(id % 3 = 0, 'o0', concat('o', id % 9000)) AS order_id",
+        "CAST(id AS INT) AS order_item_id",
+        "IF(id % 3 = 0, 'p0', concat('p', id % 3000)) AS product_id",
+        "IF(id % 3 = 0, 's0', concat('s', id % 2000)) AS seller_id",
+        "CAST(1 + id % 1009 AS DOUBLE) AS price",
+        "CAST(id % 31 AS DOUBLE) AS freight_value",
+    )
+    return StarSchema(
+        items=items,
+        products=spark.range(3000).selectExpr(
+            "concat('p', id) AS product_id", "concat('c', id % 9) AS product_category_name",
+            "CAST(id % 50 AS INT) AS product_name_lenght",
+            "CAST(id % 500 AS INT) AS product_description_lenght",
+            "CAST(id % 5 AS INT) AS product_photos_qty", "CAST(id AS DOUBLE) AS product_weight_g",
+            "1D + id % 9 AS product_length_cm", "2D AS product_height_cm", "3D AS product_width_cm",
+        ),
+        translation=spark.range(8).selectExpr(
+            "concat('c', id) AS product_category_name", "concat('e', id) AS product_category_name_english"
+        ),
+        orders=spark.range(9000).selectExpr(
+            "concat('o', id) AS order_id", "concat('u', id % 700) AS customer_id",
+            "timestampadd(HOUR, CAST(id AS INT), timestamp_ntz'2018-01-01 00:00:00') "
+            "AS order_purchase_timestamp",
+        ),
+        payments=spark.range(8000).selectExpr(
+            "concat('o', id) AS order_id", "IF(id % 2 = 0, 'boleto', 'voucher') AS payment_type",
+            "CAST(id % 10 AS INT) AS payment_installments",
+        ),
+        reviews=spark.range(20000).selectExpr(
+            "concat('r', id) AS review_id", "concat('o', id % 7000) AS order_id",
+            "CAST(1 + id % 5 AS INT) AS review_score",
+            "timestampadd(HOUR, CAST(id AS INT), timestamp_ntz'2018-01-01 00:00:00') "
+            "AS review_creation_date",
+        ),
+        customers=spark.range(700).selectExpr("concat('u', id) AS customer_id", "'SP' AS customer_state"),
+        sellers=spark.range(2000).selectExpr("concat('s', id) AS seller_id", "'RJ' AS seller_state"),
+    )
+
+
+def test_facts_with_hot_keys_are_whole(spark, hot_star, stage):
+    with settings(spark, **SMALL_CLUSTER):
+        facts = build_facts(hot_star, stage)
+        rows = facts.toPandas()
+    assert len(rows) == 60_000 and rows.order_item_id.is_unique
+
+    items = hot_star.items.toPandas()
+    sales = items.groupby("product_id").size()
+    assert (rows.product_sales_count == rows.product_id.map(sales)).all()
+    diversity = items.groupby("seller_id").product_id.nunique()
+    assert (rows.seller_product_diversity == rows.seller_id.map(diversity)).all()
+    newest = (
+        hot_star.reviews.toPandas().sort_values("review_creation_date")
+        .drop_duplicates("order_id", keep="last").set_index("order_id").review_score
+    )
+    items["score"] = items.order_id.map(newest)
+    expected = items.groupby("product_id").score.mean()
+    both = rows.dropna(subset=["product_avg_review"])
+    assert both.product_avg_review.tolist() == pytest.approx(
+        both.product_id.map(expected).tolist()
+    )
+    assert rows.product_avg_review.isna().sum() == rows.product_id.map(expected).isna().sum()
+
+
+def test_hot_partitions_are_split_in_every_fact_join(spark, hot_star, stage):
+    with settings(spark, **SMALL_CLUSTER):
+        facts = build_facts(hot_star, stage)
+        assert len(facts.collect()) == 60_000
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        plan = plan[: plan.index("Initial Plan")]
+    assert plan.count("SortMergeJoin(skew=true)") == 3, plan
+
+
+def test_quantiles_shuffle_buckets_not_rows(spark, hot_star):
+    df = exact_quantiles(hot_star.items, {"m": ("price", 0.5)})
+    df.collect()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan
+    prices = hot_star.items.toPandas().price
+    assert df.first().m == prices.median()
+
+
+def test_null_tests_reach_the_scan(spark, hot_star, stage):
+    facts = stage.table(build_facts(hot_star, stage), "facts")
+    kept = clean.complete_rows(clean.engineer(facts)).select("price")
+    with settings(spark, spark__sql__maxMetadataStringLength="5000"):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(product_weight_g)" in plan and "IsNotNull(price)" in plan
+    # Only the columns the filter needs are read for the bounds.
+    assert "seller_state" not in plan and "payment_type_mode" not in plan
+
+
+def test_split_and_target_need_no_shuffle(spark, hot_star):
+    plan = encode.with_split(hot_star.items)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "BatchEvalPython" not in plan
