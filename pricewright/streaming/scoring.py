@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -10,16 +12,22 @@ from .. import schemas
 from ..operators.score import score
 
 
+def request_schema(keep: Sequence[str] = ()) -> T.StructType:
+    """The request fields behind text columns ``keep`` (such as an id) to pass through."""
+    return T.StructType(
+        [T.StructField(name, T.StringType()) for name in keep] + schemas.REQUEST.fields
+    )
+
+
 def read_requests(
     spark: SparkSession,
     folder: str,
     fmt: str = "json",
-    extra: T.StructType | None = None,
+    keep: Sequence[str] = (),
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Request files as a stream, ``extra`` fields (such as an id) in front."""
-    schema = T.StructType((extra.fields if extra else []) + schemas.REQUEST.fields)
-    reader = spark.readStream.schema(schema)
+    """Request files of a folder as a stream."""
+    reader = spark.readStream.schema(request_schema(keep))
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.format(fmt).load(folder)

@@ -171,10 +171,7 @@ def test_stream_equals_batch(spark, star, model, tmp_path):
     requests = sample_requests(star.items, star)
     folder = str(tmp_path / "in")
     requests.repartition(3).write.json(folder)
-    from pyspark.sql import types as T
-
-    extra = T.StructType([T.StructField("request_id", T.StringType())])
-    stream = read_requests(spark, folder, extra=extra, max_files_per_trigger=1)
+    stream = read_requests(spark, folder, keep=["request_id"], max_files_per_trigger=1)
     out = str(tmp_path / "out")
     query = score_stream(stream, model, out, str(tmp_path / "log"), ("request_id",))
     query.awaitTermination()
