@@ -154,9 +154,9 @@ def tune(
 ) -> Tuned:
     """Seeded random search with cross-validation, best candidate refitted on all of train.
 
-    Features are assembled once, before the folds: a level that one fold does not contain
-    is a constant column there, which no tree can split on, so every fold fits the model it
-    would fit with an encoder of its own.
+    Features are assembled once, before the folds, not once per candidate and fold. A level
+    that one fold does not contain is a constant column there, which no tree can split on;
+    only the columns a column sample may draw differ from an encoder fitted per fold.
     """
     spark = rows.sparkSession
     shared_dir(spark)
