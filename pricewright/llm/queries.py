@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from .sharding import op7_sharding
+from .simhash import op6_simhash
 from .suffix_dedup import op1_suffix_dedup
 from .window_dedup import op5_window_dedup
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op5_window_dedup": op5_window_dedup,
+    "op6_simhash": op6_simhash,
+    "op7_sharding": op7_sharding,
 }
 ORACLES: dict[str, str] = {}
