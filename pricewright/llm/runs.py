@@ -108,6 +108,10 @@ def gram_hashes(units: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def byte_grams(text: np.ndarray, k: int) -> np.ndarray:
+    return gram_hashes(_BYTE[text], k)
+
+
 def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     size = 1
     while size * 2 <= width:

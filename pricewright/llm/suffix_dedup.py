@@ -151,6 +151,22 @@ def _same(text, start, size, own, lead) -> np.ndarray:
     return np.add.reduceat(differ, np.concatenate([[0], np.cumsum(n)[:-1]])) == 0
 
 
+def _laid_out(size: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Where the windows of runs start when the texts of the runs are joined."""
+    return R.spread(np.cumsum(size) - size, count)
+
+
+def _hashed_twice(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Which starts share the hash of their ``length`` bytes with another."""
+    out = np.zeros(len(starts), bool)
+    if len(starts):
+        hashes = R.byte_grams(text, length)[starts]
+        order = np.argsort(hashes)
+        equal = hashes[order][1:] == hashes[order][:-1]
+        out[order[1:][equal]] = out[order[:-1][equal]] = True
+    return out
+
+
 def removed_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``id, version, pos, length``: runs of window starts whose ``length`` bytes start earlier."""
     if length < 16:
@@ -195,11 +211,14 @@ def removed_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         k = np.flatnonzero(kept)
         _, inverse, seen = np.unique(least[k], return_inverse=True, return_counts=True)
         k = k[(seen[inverse] > 1) | again[k]]
+        # Equal strings have equal hashes: runs without such a pair are not sorted.
+        starts = _laid_out(size[k], count[k])
+        twin = _hashed_twice(text[R.spread(start[k], size[k])], starts, length)
+        if len(k):
+            k = k[np.logical_or.reduceat(twin, np.cumsum(count[k]) - count[k])]
         k = k[np.lexsort((versions[k], pos[k], ids[k]))]
-        joined = text[R.spread(start[k], size[k])]
-        begin = np.cumsum(size[k]) - size[k]
-        starts = R.spread(begin, count[k])
-        found, first = repeated_starts(joined, starts, length)
+        starts = _laid_out(size[k], count[k])
+        found, first = repeated_starts(text[R.spread(start[k], size[k])], starts, length)
         owner = np.repeat(np.arange(len(k)), count[k])
         place, who = R.spread(pos[k], count[k]), ids[k][owner]
         # The same place in another version of the document is not an earlier start.
