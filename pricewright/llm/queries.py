@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from .decontaminate import op3_decontaminate
+from .outliers import op9_outliers
+from .packing import op4_packing
 from .sharding import op7_sharding
 from .simhash import op6_simhash
 from .suffix_dedup import op1_suffix_dedup
+from .toxicity import op10_toxicity
+from .warc import op8_warc
 from .window_dedup import op5_window_dedup
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_packing": op4_packing,
     "op5_window_dedup": op5_window_dedup,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
+    "op8_warc": op8_warc,
+    "op9_outliers": op9_outliers,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
