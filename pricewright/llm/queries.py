@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import op3_decontaminate
 from .outliers import op9_outliers
 from .packing import op4_packing
+from .pii import op2_pii
 from .sharding import op7_sharding
 from .simhash import op6_simhash
 from .suffix_dedup import op1_suffix_dedup
@@ -14,6 +15,7 @@ from .window_dedup import op5_window_dedup
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_pii": op2_pii,
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
     "op5_window_dedup": op5_window_dedup,

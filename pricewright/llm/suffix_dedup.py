@@ -59,33 +59,37 @@ def ranks(text: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
         size += step
 
 
-def previous_smaller(values: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def previous_smaller(
+    values: np.ndarray, shared: np.ndarray, floor: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
     """For each place the nearest earlier place with a smaller value (-1: none), and the least of
-    ``shared`` on the way; ``shared[i]`` belongs to the step from ``i`` to ``i - 1``.
+    ``shared`` on the way; ``shared[i]`` belongs to the step from ``i`` to ``i - 1``. A search
+    ends early, with what it has, where the least falls below ``floor``.
 
     All places jump at once: what lies between a place and its candidate is larger than the
     place, so the candidate's own candidate is the next to try.
     """
     at = np.arange(len(values)) - 1
     least = shared.copy()
-    while True:
-        todo = np.flatnonzero((at >= 0) & (values[np.maximum(at, 0)] > values))
-        if not len(todo):
-            return at, np.where(at >= 0, least, 0)
+    todo = np.flatnonzero((at >= 0) & (least >= floor))
+    while len(todo := todo[values[at[todo]] > values[todo]]):
         jump = at[todo]
         least[todo] = np.minimum(least[todo], least[jump])
         at[todo] = at[jump]
+        todo = todo[(at[todo] >= 0) & (least[todo] >= floor)]
+    return at, np.where(at >= 0, least, 0)
 
 
-def longest_previous_factor(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    """The longest previous factor of each suffix, by place in ``order``.
+def longest_previous_factor(order: np.ndarray, lcp: np.ndarray, floor: int = 0) -> np.ndarray:
+    """The longest previous factor of each suffix, by place in ``order``; those below ``floor``
+    are not exact, but below it.
 
     ``order`` holds text positions in suffix order, ``lcp[i]`` the common prefix of the
     suffixes at places ``i`` and ``i - 1`` (``lcp[0]`` is 0).
     """
-    _, before = previous_smaller(order, lcp)
+    _, before = previous_smaller(order, lcp, floor)
     back = np.concatenate([[0], lcp[:0:-1]]) if len(lcp) else lcp
-    _, after = previous_smaller(order[::-1], back)
+    _, after = previous_smaller(order[::-1], back, floor)
     return np.maximum(before, after[::-1])
 
 
@@ -108,7 +112,7 @@ def repeated_starts(
         here = rank[suffixes]
         lcp[1:][here[1:] == here[:-1]] = size
     found, first = np.zeros(len(starts), bool), np.empty(len(starts), np.int64)
-    found[order] = longest_previous_factor(suffixes, lcp) >= length
+    found[order] = longest_previous_factor(suffixes, lcp, length) >= length
     heads = np.flatnonzero(lcp < length)
     first[order] = order[np.repeat(heads, np.diff(np.append(heads, len(order))))]
     return found, first

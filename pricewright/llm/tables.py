@@ -35,6 +35,11 @@ def repeats_ids(docs: DataFrame, column: str = "doc_id") -> bool:
     return bool(docs.groupBy(column).count().filter("count > 1").head(1))
 
 
+def version_of(docs: DataFrame) -> Column:
+    """0 where ids are unique, else a hash of the text."""
+    return F.xxhash64(text_of(docs)) if repeats_ids(docs) else F.lit(0).cast("long")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``id, version, text`` of every row.
 
@@ -42,12 +47,10 @@ def keyed(docs: DataFrame) -> DataFrame:
     apart by a hash of their text; with unique ids, the usual case, ``version`` is 0. Repeated
     rows are equal in all three columns and so get equal results.
     """
-    text = text_of(docs)
-    version = F.xxhash64(text) if repeats_ids(docs) else F.lit(0).cast("long")
     return docs.select(
         F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("id"),
-        version.alias("version"),
-        text.alias("text"),
+        version_of(docs).alias("version"),
+        text_of(docs).alias("text"),
     )
 
 
