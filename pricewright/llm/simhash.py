@@ -22,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from . import runs as R
 from .components import components
-from .tables import NULL_ID, buckets, doc_id, read, stage, text_of
+from .tables import NULL_ID, buckets, doc_id, keyed, read, repeats_ids, stage, version_of
 
 SHINGLE = 3
 RADIUS = 3
@@ -59,11 +59,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``id, fp`` of every row, the fingerprint as a signed long."""
-    rows = docs.select(
-        F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("id"),
-        text_of(docs).alias("text"),
-    )
+    """``id, version, fp`` of every row of :func:`tables.keyed`; the fingerprint as a signed long."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,10 +72,11 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 np.uint64,
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(found.view(np.int64))], ["id", "fp"]
+                [batch.column("id"), batch.column("version"), pa.array(found.view(np.int64))],
+                ["id", "version", "fp"],
             )
 
-    return rows.mapInArrow(each, "id long, fp long")
+    return docs.mapInArrow(each, "id long, version long, fp long")
 
 
 def stars(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -232,12 +229,10 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return near.union(far)
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
-) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``id, version, fp, component`` of every row; the component is its least id."""
     store = stage(docs.sparkSession)
-    rows = store.table(fingerprints(docs, shingle), "fingerprints")
+    rows = store.table(fingerprints(keyed(docs), shingle), "fingerprints")
     distinct = store.table(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     roots = components(links(distinct.select("fp"), radius), store)
     member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
@@ -246,12 +241,35 @@ def near_duplicates(
     member = store.table(member, "member")
     least = member.groupBy("root").agg(F.min("least").alias("component"))
     named = store.table(member.join(least, "root").select("fp", "component"), "named")
-    return rows.join(named, "fp").select(
+    return rows.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every row."""
+    return grouped(docs, shingle, radius).select(
         doc_id("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         doc_id("component").alias("component_id"),
     )
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs``, every column, with one row of each component: that of its least id."""
+    best = grouped(docs, shingle, radius).groupBy("component").agg(
+        F.min(F.struct("id", "version")).alias("k")
+    )
+    best = best.select(F.col("k.id").alias("_id"), F.col("k.version").alias("_version"))
+    own = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
+    repeated = repeats_ids(docs)
+    version = version_of(docs) if repeated else F.lit(0).cast("long")
+    same = (own == best["_id"]) & (version == best["_version"])
+    if not repeated:
+        return docs.join(best, same, "left_semi")
+    # Rows that are alike in id and text are one document; one of them stays.
+    order = Window.partitionBy("_id", "_version").orderBy(F.lit(1))
+    kept = docs.join(best, same).withColumn("_place", F.row_number().over(order))
+    return kept.filter("_place = 1").drop("_id", "_version", "_place")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
