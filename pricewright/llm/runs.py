@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from .tables import BUCKETED, NULL_ID, buckets
 
 #: Units worked on at a time; bounds the memory of a task whatever the length of a text.
-PIECE = 4 << 20
+PIECE = 1 << 20
 #: Bytes whose word hashes are computed at a time.
 SEGMENT = 1 << 18
 #: Words from this length on are hashed one by one.
@@ -175,6 +175,22 @@ def find_runs(piece: Piece, window: int, gram: int, inner: bool = True) -> Runs:
     )
 
 
+def batch_runs(
+    pieces: Iterator[Piece], window: int, gram: int, inner: bool, choose: Callable | None = None
+) -> Runs:
+    """The runs of all pieces of a batch together, of those that ``choose(piece, runs)`` keeps."""
+    parts = []
+    for piece in pieces:
+        runs = find_runs(piece, window, gram, inner)
+        if choose:
+            x = choose(piece, runs)
+            runs = Runs(*(getattr(runs, f.name)[x] for f in fields(Runs)))
+        parts.append(runs)
+    if not parts:
+        parts = [find_runs(Piece(*[np.zeros(0, np.uint64)] * 5), window, gram)]
+    return Runs(*(np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(Runs)))
+
+
 def _again(grams, least, start, end, piece, owner, window, width) -> np.ndarray:
     """Whether the smallest hash of each run stands at more than one place of it.
 
@@ -338,24 +354,23 @@ def flag_repeats(
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, versions = longs(batch, "id"), longs(batch, "version")
-            for piece in pieces(batch, window):
-                runs = find_runs(piece, window, gram, inner)
-                order = np.argsort(runs.least, kind="stable")
-                equal = np.zeros(len(order) + 1, bool)
-                equal[1:-1] = runs.least[order][1:] == runs.least[order][:-1]
-                # All but the first of equal hashes are known to repeat; the first stands for them.
-                new, sure = np.empty(len(order), bool), runs.again.copy()
-                new[order] = ~equal[:-1]
-                sure[order] |= equal[:-1] | equal[1:]
-                by, slices = bucket_slices(bucket_of(runs.least, n))
-                rows = []
-                for b, i, j in slices:
-                    x = by[i:j]
-                    d = runs.doc[x]
-                    columns = new[x], sure[x], steps(ids[d]), versions[d], runs.pos[x]
-                    rows.append((b, pack(runs.least[x][new[x]], *columns)))
-                if rows:
-                    yield emit(rows)
+            runs = batch_runs(pieces(batch, window), window, gram, inner)
+            order = np.argsort(runs.least, kind="stable")
+            equal = np.zeros(len(order) + 1, bool)
+            equal[1:-1] = runs.least[order][1:] == runs.least[order][:-1]
+            # All but the first of equal hashes are known to repeat; the first stands for them.
+            new, sure = np.empty(len(order), bool), runs.again.copy()
+            new[order] = ~equal[:-1]
+            sure[order] |= equal[:-1] | equal[1:]
+            by, slices = bucket_slices(bucket_of(runs.least, n))
+            rows = []
+            for b, i, j in slices:
+                x = by[i:j]
+                d = runs.doc[x]
+                columns = new[x], sure[x], steps(ids[d]), versions[d], runs.pos[x]
+                rows.append((b, pack(runs.least[x][new[x]], *columns)))
+            if rows:
+                yield emit(rows)
 
     def count(table: pa.Table) -> pa.Table:
         least, new, sure, ids, versions, pos = unpack_all(

@@ -30,6 +30,8 @@ from .tables import BUCKETED, buckets, keyed, read
 
 LENGTH = 100
 GRAM = 24
+#: Packed rows sent on at a time.
+ROWS = 64
 _KINDS = (np.uint64, R.Steps, np.int64, np.int64, bool, np.int64, np.uint8)
 _LOCAL = (R.Steps, np.int64, np.int64, np.int64)
 
@@ -184,24 +186,29 @@ def removed_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             ids, versions = R.longs(batch, "id"), R.longs(batch, "version")
             marks = R.flags_of(batch)
             data, off = R.string_buffer(batch.column("text"))
-            for piece in R.byte_pieces(batch, length):
-                runs = R.find_runs(piece, length, gram)
-                x = np.flatnonzero(R.flagged(runs, *marks))
-                if not len(x):
-                    continue
-                doc, pos, count = runs.doc[x], runs.pos[x], runs.length[x]
-                start, size = off[doc] + pos, count + length - 1
-                kept, gone = first_copies(data, start, size, runs.least[x], ids[doc], pos)
-                by, slices = R.bucket_slices(R.bucket_of(runs.least[x], n))
-                rows = []
-                for b, i, j in slices:
-                    y = by[i:j]
-                    k, g = y[kept[y]], y[gone[y]]
-                    text = data[R.spread(start[k], size[k])]
-                    whole = (runs.least[x][k], R.steps(ids[doc[k]]), versions[doc[k]], pos[k])
-                    whole += (runs.again[x][k],)
-                    local = (R.steps(ids[doc[g]]), versions[doc[g]], pos[g], count[g])
-                    rows.append((b, R.pack(*whole, count[k], text, *local)))
+            runs = R.batch_runs(
+                R.byte_pieces(batch, length),
+                length,
+                gram,
+                True,
+                lambda piece, found: R.flagged(found, *marks),
+            )
+            doc, pos, count = runs.doc, runs.pos, runs.length
+            start, size = off[doc] + pos, count + length - 1
+            kept, gone = first_copies(data, start, size, runs.least, ids[doc], pos)
+            by, slices = R.bucket_slices(R.bucket_of(runs.least, n))
+            rows = []
+            for b, i, j in slices:
+                y = by[i:j]
+                k, g = y[kept[y]], y[gone[y]]
+                text = data[R.spread(start[k], size[k])]
+                whole = (runs.least[k], R.steps(ids[doc[k]]), versions[doc[k]], pos[k])
+                local = (R.steps(ids[doc[g]]), versions[doc[g]], pos[g], count[g])
+                rows.append((b, R.pack(*whole, runs.again[k], count[k], text, *local)))
+                if len(rows) == ROWS:
+                    yield R.emit(rows)
+                    rows = []
+            if rows:
                 yield R.emit(rows)
 
     def compare(table: pa.Table) -> pa.Table:

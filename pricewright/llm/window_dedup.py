@@ -106,29 +106,39 @@ def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             ids, versions = R.longs(batch, "id"), R.longs(batch, "version")
             marks = R.flags_of(batch)
-            for piece in R.word_pieces(batch, window):
-                runs = R.find_runs(piece, window, gram, inner=False)
-                x = np.flatnonzero(R.flagged(runs, *marks))
-                if not len(x):
-                    continue
-                hashes = rolling(piece.units, window)
-                doc, pos, count, start = runs.doc[x], runs.pos[x], runs.length[x], runs.start[x]
-                least = runs.least[x]
-                kept, gone = _copies(hashes, start, count, least, ids[doc])
-                by, slices = R.bucket_slices(R.bucket_of(least, n))
-                rows = []
-                for b, i, j in slices:
-                    y = by[i:j]
-                    k, g = y[kept[y]], y[gone[y]]
-                    whole = (least[k], R.steps(ids[doc[k]]), versions[doc[k]], pos[k], count[k])
-                    local = (R.steps(ids[doc[g]]), versions[doc[g]], pos[g], count[g])
-                    rows.append((b, R.pack(*whole, hashes[R.spread(start[k], count[k])], *local)))
+            parts = []
+
+            def choose(piece: R.Piece, found: R.Runs) -> np.ndarray:
+                x = R.flagged(found, *marks)
+                own = rolling(piece.units, window) if x.any() else np.zeros(0, np.uint64)
+                parts.append(own[R.spread(found.start[x], found.length[x])])
+                return x
+
+            runs = R.batch_runs(R.word_pieces(batch, window), window, gram, False, choose)
+            hashes = np.concatenate([np.zeros(0, np.uint64), *parts])
+            doc, pos, count, least = runs.doc, runs.pos, runs.length, runs.least
+            start = np.cumsum(count) - count
+            kept, gone = _copies(hashes, start, count, least, ids[doc])
+            by, slices = R.bucket_slices(R.bucket_of(least, n))
+            rows = []
+            for b, i, j in slices:
+                y = by[i:j]
+                k, g = y[kept[y]], y[gone[y]]
+                whole = (least[k], R.steps(ids[doc[k]]), versions[doc[k]], pos[k], count[k])
+                local = (R.steps(ids[doc[g]]), versions[doc[g]], pos[g], count[g])
+                rows.append((b, R.pack(*whole, hashes[R.spread(start[k], count[k])], *local)))
+            if rows:
                 yield R.emit(rows)
 
     def compare(table: pa.Table) -> pa.Table:
         least, ids, versions, pos, count, hashes, *local = R.unpack_all(
             table.column("blob"), *_KINDS, *_LOCAL
         )
+        start = np.cumsum(count) - count
+        kept, gone = _copies(hashes, start, count, least, ids)
+        copies = [ids[gone], versions[gone], pos[gone], count[gone]]
+        hashes = hashes[R.spread(start[kept], count[kept])]
+        least, ids, versions, pos, count = (c[kept] for c in (least, ids, versions, pos, count))
         owner = np.repeat(np.arange(len(ids)), count)
         order = np.lexsort((ids[owner], hashes, least[owner]))
         h, o = hashes[order], owner[order]
@@ -138,7 +148,7 @@ def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         found = np.zeros(len(order), bool)
         found[order] = ids[o] > ids[o[first]]
         mine = R.intervals(found, owner, ids, versions, pos, count)
-        return R.span_table(*(np.concatenate(c) for c in zip(local, mine)))
+        return R.span_table(*(np.concatenate(c) for c in zip(local, copies, mine)))
 
     return (
         R.with_flags(docs, flags)
