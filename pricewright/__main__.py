@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -11,12 +12,12 @@ from pricewright.operators import category
 from pricewright.operators.score import score
 from pricewright.plans import jobs, presets
 from pricewright.sources import sinks
-from pricewright.sources.star import read_star, scan_counts
+from pricewright.sources.star import read_star, scan_counts, to_parquet
 from pricewright.stage import Stage
-from pricewright.streaming.scoring import read_requests, request_schema, score_stream
+from pricewright.streaming.scoring import read_request_table, read_requests, score_stream
 
 
-def _arguments() -> argparse.Namespace:
+def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="pricewright")
     job = parser.add_subparsers(dest="job", required=True)
 
@@ -31,19 +32,29 @@ def _arguments() -> argparse.Namespace:
             sub.add_argument("--keep", nargs="*", default=[], help="id columns to pass through")
         if name in ("train", "baseline", "compare"):
             sub.add_argument("--quick", action="store_true", help="small models, all rows")
+        if name in ("train", "baseline"):
+            sub.add_argument("--candidates", type=int, help="parameter sets to try")
+            sub.add_argument("--folds", type=int, default=presets.FOLDS)
+            sub.add_argument("--parallelism", type=int, default=2, help="fits at a time")
+        if name == "stream":
+            limit = sub.add_mutually_exclusive_group()
+            limit.add_argument("--max-files", type=int, help="files of a batch")
+            limit.add_argument("--max-bytes", help="bytes of a batch, such as 1g")
+            sub.add_argument("--once", action="store_true", help="stop when the folder is drained")
 
     add("train", "search, evaluate and save the current model", "data", "out")
     add("baseline", "search, evaluate and save the older model", "data", "out")
     add("compare", "fit and rank the four algorithms", "data", "out")
     add("ranking", "rank the results a compare run wrote", "results")
     add("categories", "category table, SQL seed and report", "data", "out")
+    add("convert", "published CSV files to Parquet", "data", "out")
     add("score", "price a table of requests", "requests", "model", "out")
     add("stream", "price request files as they arrive", "requests", "model", "out", "checkpoint")
-    return parser.parse_args()
+    return parser.parse_args(argv)
 
 
-def main() -> None:
-    args = _arguments()
+def main(argv: Sequence[str] | None = None) -> None:
+    args = _arguments(argv)
     spark = SparkSession.builder.appName(f"pricewright {args.job}").getOrCreate()
 
     def star(*tables: str):
@@ -53,50 +64,62 @@ def main() -> None:
         source = star()
         scan_counts(source).show()
         space = presets.QUICK_SPACE if args.quick else presets.SEARCH_SPACE
-        count = 2 if args.quick else presets.SEARCH_CANDIDATES
-        trained = jobs.train(
-            source, Stage(spark), space, count, f"{args.out}/model", f"{args.out}/result"
-        )
-        trained.record.select("algorithm", "r2", "mae", "mape", "vs_baseline").show(truncate=False)
+        count = args.candidates or (2 if args.quick else presets.SEARCH_CANDIDATES)
+        paths = f"{args.out}/model", f"{args.out}/result"
+        with Stage(spark) as stage:
+            trained = jobs.train(
+                source, stage, space, count, *paths, args.folds, args.parallelism
+            )
+            trained.record.select("algorithm", "r2", "mae", "mape", "vs_baseline").show(
+                truncate=False
+            )
         trained.search.summary(spark).show(truncate=False)
     elif args.job == "baseline":
         space = dict(presets.BASELINE_SEARCH_SPACE)
         if args.quick:
             space.update(n_estimators=[4, 6], max_depth=[3, 4])
-        count = 2 if args.quick else presets.BASELINE_SEARCH_CANDIDATES
+        count = args.candidates or (2 if args.quick else presets.BASELINE_SEARCH_CANDIDATES)
         source = star(*schemas.CORE_TABLES)
-        trained = jobs.train_baseline(source, Stage(spark), space, count, f"{args.out}/model")
-        trained.metrics.show()
+        paths = f"{args.out}/model", f"{args.out}/result"
+        with Stage(spark) as stage:
+            trained = jobs.train_baseline(
+                source, stage, space, count, *paths, args.folds, args.parallelism
+            )
+            trained.metrics.show()
     elif args.job == "compare":
-        stage = Stage(spark)
-        rows = jobs.prepare_baseline(star(*schemas.CORE_TABLES), stage, trim=False)
-        rows = stage.table(rows, "training_rows")
-        sizes = presets.QUICK if args.quick else {}
-        jobs.compare(rows, tuple(presets.ALGORITHMS), sizes, args.out).show()
+        with Stage(spark) as stage:
+            rows = jobs.prepare_baseline(star(*schemas.CORE_TABLES), stage, trim=False)
+            rows = stage.table(rows, "training_rows")
+            sizes = presets.QUICK if args.quick else {}
+            jobs.compare(rows, tuple(presets.ALGORITHMS), sizes, args.out).show()
     elif args.job == "ranking":
         jobs.compare_results(spark, args.results, tuple(presets.ALGORITHMS)).show()
     elif args.job == "categories":
-        stats = jobs.categories(
-            star(*schemas.CATEGORY_TABLES),
-            Stage(spark),
-            f"{args.out}/category_stats_seed",
-            f"{args.out}/category_stats",
-        )
-        category.top_categories(stats).show(truncate=False)
-        category.bottom_categories(stats).show(truncate=False)
-        category.category_ranges(stats).show()
+        with Stage(spark) as stage:
+            stats = jobs.categories(
+                star(*schemas.CATEGORY_TABLES),
+                stage,
+                f"{args.out}/category_stats_seed",
+                f"{args.out}/category_stats",
+            )
+            category.top_categories(stats).show(truncate=False)
+            category.bottom_categories(stats).show(truncate=False)
+            category.category_ranges(stats).show()
+    elif args.job == "convert":
+        to_parquet(spark, args.data, args.out)
     elif args.job == "score":
-        reader = spark.read.schema(request_schema(args.keep)).format(args.format)
-        model = sinks.load_model(args.model)
-        score(reader.load(args.requests), model, tuple(args.keep)).write.parquet(args.out)
+        requests = read_request_table(spark, args.requests, args.format, args.keep)
+        score(requests, sinks.load_model(args.model), tuple(args.keep)).write.parquet(args.out)
     elif args.job == "stream":
         score_stream(
-            read_requests(spark, args.requests, args.format, args.keep),
+            read_requests(
+                spark, args.requests, args.format, args.keep, args.max_files, args.max_bytes
+            ),
             sinks.load_model(args.model),
             args.out,
             args.checkpoint,
             tuple(args.keep),
-            trigger={"processingTime": "10 seconds"},
+            trigger=None if args.once else {"processingTime": "10 seconds"},
         ).awaitTermination()
 
 

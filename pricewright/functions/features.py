@@ -28,11 +28,13 @@ def volume() -> Column:
 
 
 def density(vol: Column) -> Column:
-    return _double("product_weight_g") / (vol + 1)
+    """Null at a volume of -1, so such a row is dropped as incomplete."""
+    return F.try_divide(_double("product_weight_g"), vol + 1)
 
 
 def shipping_ratio() -> Column:
-    return _double("freight_value") / (_double("product_weight_g") + 1)
+    """Null at a weight of -1, so such a row is dropped as incomplete."""
+    return F.try_divide(_double("freight_value"), _double("product_weight_g") + 1)
 
 
 def complexity_score() -> Column:

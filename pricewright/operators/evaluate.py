@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
 
-_SCORES = ["r2", "mae", "mse", "rmse", "mape"]
-
-
 def _relative_error(y: Column, p: Column) -> Column:
     """|y-p|/|y|; a target of zero gives infinity, or NaN when the prediction is zero too."""
     at_zero = F.when(p == 0, float("nan")).otherwise(float("inf"))
@@ -64,26 +63,32 @@ def comparison_table(records: DataFrame) -> DataFrame:
 
 
 def result_record(
-    metrics: DataFrame, algorithm: str, best_params: dict[str, float]
+    metrics: DataFrame,
+    algorithm: str,
+    best_params: dict[str, float],
+    numeric: Sequence[str] = tuple(schemas.NUMERIC),
+    categorical: Sequence[str] = tuple(schemas.CATEGORICAL),
+    new_tables: Sequence[str] = tuple(schemas.NEW_TABLES),
+    leakage_fixed: bool = True,
 ) -> DataFrame:
-    """The full result of a training run as one nested row."""
+    """The full result of a training run as one nested row. Defaults are those of the current model."""
     params = F.create_map(
         *[item for k, v in best_params.items() for item in (F.lit(k), F.lit(float(v)))]
     )
 
-    def texts(values: list[str]) -> Column:
-        return F.array(*[F.lit(v) for v in values])
+    def texts(values: Sequence[str]) -> Column:
+        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
     return baseline_delta(metrics).select(
         F.lit(algorithm).alias("algorithm"),
         "r2",
         "mae",
         "mape",
-        F.lit(len(schemas.FEATURES)).alias("features_count"),
-        texts(schemas.NUMERIC).alias("features_numeric"),
-        texts(schemas.CATEGORICAL).alias("features_categorical"),
+        F.lit(len(numeric) + len(categorical)).alias("features_count"),
+        texts(numeric).alias("features_numeric"),
+        texts(categorical).alias("features_categorical"),
         params.alias("best_params"),
         F.struct("r2_delta", "mae_delta").alias("vs_baseline"),
-        texts(schemas.NEW_TABLES).alias("new_tables_used"),
-        F.lit(True).alias("leakage_fixed"),
+        texts(new_tables).alias("new_tables_used"),
+        F.lit(leakage_fixed).alias("leakage_fixed"),
     )

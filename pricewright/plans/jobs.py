@@ -63,10 +63,13 @@ def train(
     candidates: int = presets.SEARCH_CANDIDATES,
     model_path: str | None = None,
     result_path: str | None = None,
+    folds: int = presets.FOLDS,
+    parallelism: int = 2,
 ) -> Trained:
     """Current model: prepare, search, evaluate, and write model and result when asked."""
     rows = stage.table(prepare(star, stage), "training_rows")
-    return _search(rows, CURRENT, space, candidates, stage, model_path, result_path)
+    search = training.tune(rows, CURRENT, space, candidates, folds, parallelism)
+    return _finish(rows, search, CURRENT, stage, model_path, result_path)
 
 
 def train_baseline(
@@ -75,16 +78,28 @@ def train_baseline(
     space: dict = presets.BASELINE_SEARCH_SPACE,
     candidates: int = presets.BASELINE_SEARCH_CANDIDATES,
     model_path: str | None = None,
+    result_path: str | None = None,
+    folds: int = presets.FOLDS,
+    parallelism: int = 2,
 ) -> Trained:
     """Older model, trimmed prices and 20 features."""
     rows = stage.table(prepare_baseline(star, stage), "training_rows")
-    return _search(rows, BASELINE, space, candidates, stage, model_path, None)
+    search = training.tune(rows, BASELINE, space, candidates, folds, parallelism)
+    return _finish(rows, search, BASELINE, stage, model_path, result_path)
 
 
-def _search(rows, features, space, candidates, stage, model_path, result_path) -> Trained:
-    search = training.tune(rows, features, space, candidates)
+def _finish(rows, search, features, stage, model_path, result_path) -> Trained:
     metrics = stage.table(training.evaluate(rows, search.model), "metrics")
-    record = evaluate.result_record(metrics, "GBT", search.best_params)
+    current = features == CURRENT
+    record = evaluate.result_record(
+        metrics,
+        "GBT",
+        search.best_params,
+        features.numeric,
+        features.categorical,
+        schemas.NEW_TABLES if current else (),
+        leakage_fixed=current,
+    )
     if model_path:
         sinks.save_model(search.model, model_path)
     if result_path:

@@ -172,15 +172,17 @@ def tune(
     grid = [
         {learner.getParam(k): v for k, v in boosting_params(values).items()} for values in drawn
     ]
-    search = CrossValidator(
-        estimator=learner,
-        estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(labelCol="label", metricName="r2"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    ).fit(assembled)
-    assembled.unpersist()
+    try:
+        search = CrossValidator(
+            estimator=learner,
+            estimatorParamMaps=grid,
+            evaluator=RegressionEvaluator(labelCol="label", metricName="r2"),
+            numFolds=folds,
+            foldCol="fold",
+            parallelism=parallelism,
+        ).fit(assembled)
+    finally:
+        assembled.unpersist()
     best = max(range(len(drawn)), key=lambda i: search.avgMetrics[i])
     return Tuned(
         model=PipelineModel(stages=[*encoder.stages, search.bestModel]),

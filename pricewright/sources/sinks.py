@@ -40,7 +40,8 @@ def write_seed(stats: DataFrame, path: str) -> None:
 def insert_missing(stats: DataFrame, path: str) -> None:
     """Append the categories the table at ``path`` does not hold yet, creating it if needed.
 
-    Running it again changes nothing: existing rows are never touched.
+    Running it again changes nothing: existing rows are never touched. Two writers at the same
+    time may both append a category; run one at a time.
     """
     spark = stats.sparkSession
     try:

@@ -28,6 +28,10 @@ class StarSchema:
         return {name: df for name, df in present.items() if df is not None}
 
 
+#: Where the CSV reader puts a record that it cannot split.
+_CORRUPT = T.StructField("_corrupt_record", T.StringType())
+
+
 def _typed(table: str, header: list[str]) -> T.StructType:
     wanted = schemas.TABLES[table]
     missing = set(wanted.names) - set(header) - schemas.OPTIONAL_COLUMNS
@@ -37,17 +41,6 @@ def _typed(table: str, header: list[str]) -> T.StructType:
     return T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in header])
 
 
-def one_task_per_core(df: DataFrame) -> DataFrame:
-    """Spread a file scan over all cores when its files give fewer tasks than that.
-
-    A scan with fewer tasks than cores reads at most one split per core, so what this
-    shuffles is small by construction; a large scan is returned as it is. For plain scans
-    only: asking anything else for its tasks may run part of it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_csv_table(spark: SparkSession, table: str, path: str, mode: str = "FAILFAST") -> DataFrame:
     """Read one CSV table with its declared types, whatever the order of its columns.
 
@@ -55,7 +48,15 @@ def read_csv_table(spark: SparkSession, table: str, path: str, mode: str = "FAIL
     ``mode="PERMISSIVE"``. Types are declared, never inferred: the only extra read is the
     header line. Review texts contain line breaks, so that table is read record by record.
     """
-    options = {"header": "true", "mode": mode, "quote": '"', "escape": '"'}
+    # Each file's header is held against the schema, so a folder of files that order their
+    # columns differently is an error, not a mix-up.
+    options = {
+        "header": "true",
+        "mode": mode,
+        "quote": '"',
+        "escape": '"',
+        "enforceSchema": "false",
+    }
     if table == "reviews":
         options["multiLine"] = "true"
     header = spark.read.options(**options).csv(path).columns
@@ -65,9 +66,61 @@ def read_csv_table(spark: SparkSession, table: str, path: str, mode: str = "FAIL
 
 
 def read_parquet_table(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """Read one Parquet table; columns of another type are cast, values that do not fit raise."""
     df = spark.read.parquet(path)
     _typed(table, df.columns)
-    return df.select(*[n for n in schemas.TABLES[table].names if n in df.columns])
+    fields = [f for f in schemas.TABLES[table] if f.name in df.columns]
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def read_quarantined(
+    spark: SparkSession, table: str, path: str
+) -> tuple[DataFrame, DataFrame]:
+    """The CSV rows that parse, and the others as ``table_name, record, reason``.
+
+    Null and blank values are no errors. Both results scan the files; neither drops a row that the
+    other lacks.
+    """
+    options = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}
+    if table == "reviews":
+        options["multiLine"] = "true"
+    header = spark.read.options(**options).csv(path).columns
+    schema = _typed(table, header)
+    texts = spark.read.options(**options).schema(
+        T.StructType([T.StructField(n, T.StringType()) for n in header] + [_CORRUPT])
+    ).option("columnNameOfCorruptRecord", _CORRUPT.name).csv(path)
+    wanted = {f.name: f.dataType for f in schemas.TABLES[table] if f.name in header}
+    bad = [
+        F.when(
+            F.trim(n).isNotNull() & (F.trim(n) != "") & F.col(n).try_cast(kind).isNull(),
+            F.concat(F.lit(f"{n}: no {kind.simpleString()}: "), F.col(n)),
+        )
+        for n, kind in wanted.items()
+        if not isinstance(kind, T.StringType)
+    ]
+    broken = F.when(F.col(_CORRUPT.name).isNotNull(), F.lit("broken record"))
+    reason = F.array_join(F.array_compact(F.array(broken, *bad)), "; ")
+    judged = texts.withColumn("reason", reason)
+    record = F.coalesce(_CORRUPT.name, F.to_json(F.struct(*header)))
+    good = judged.filter("reason = ''").select(
+        *[
+            F.col(n).try_cast(kind).alias(n) if not isinstance(kind, T.StringType) else F.col(n)
+            for n, kind in wanted.items()
+        ]
+    )
+    aside = judged.filter("reason <> ''").select(
+        F.lit(table).alias("table_name"), record.alias("record"), "reason"
+    )
+    return good, aside
+
+
+def to_parquet(spark: SparkSession, folder: str, out: str, tables=tuple(schemas.TABLES)) -> None:
+    """Convert published CSV files to ``<table>.parquet``, once, for jobs that read them often.
+
+    Review texts hold line breaks, so that CSV file is read by one task; the Parquet copy is not.
+    """
+    for table, df in read_star(spark, folder, tables).tables().items():
+        df.write.mode("error").parquet(f"{out}/{table}.parquet")
 
 
 def read_star(
@@ -86,7 +139,6 @@ def read_star(
         read = {t: read_parquet_table(spark, t, f"{folder}/{t}.parquet") for t in tables}
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    read["items"] = one_task_per_core(read["items"])
     return StarSchema(**read)
 
 

@@ -12,7 +12,6 @@ first and joins the written tables. That gives three things at once:
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,22 +20,28 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    A local session without that setting (tests) gets a temporary folder; a cluster
-    session without it is an error, because a machine-local folder would lose data.
+    Else the checkpoint folder of the context. Without either, or with a local file path
+    on a cluster, it is an error: machine-local files are lost with their machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pricewright-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not spark.sparkContext.master.startswith("local") and _scheme(spark, folder) == "file":
+        raise ValueError(f"{folder} is no shared store; set spark.checkpoint.dir to one")
+    return folder.rstrip("/")
+
+
+def _scheme(spark: SparkSession, folder: str) -> str:
+    """The scheme of a path, or of the default file system for a path without one."""
+    if ":" not in folder.split("/")[0]:
+        folder = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:/"
+    return folder.split(":")[0]
 
 
 class Stage:
-    """A run-private folder of written tables. Its owner removes it when results are consumed."""
+    """A run-private folder of written tables. Its owner calls :meth:`remove` when results are
+    consumed, or uses it as a context manager."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -49,3 +54,15 @@ class Stage:
         """Write ``df`` once and return a reader over the written files."""
         df.write.mode("error").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def remove(self) -> None:
+        """Delete the folder, wherever it is. Tables read from it are no longer usable."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.remove()

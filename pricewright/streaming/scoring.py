@@ -9,27 +9,46 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.score import score
+from ..operators.score import CORRUPT, score
 
 
 def request_schema(keep: Sequence[str] = ()) -> T.StructType:
-    """The request fields behind text columns ``keep`` (such as an id) to pass through."""
+    """The request fields behind text columns ``keep`` (such as an id) to pass through.
+
+    The last column takes a record that does not parse, so that it is rejected, not lost.
+    """
     return T.StructType(
-        [T.StructField(name, T.StringType()) for name in keep] + schemas.REQUEST.fields
+        [T.StructField(name, T.StringType()) for name in keep]
+        + schemas.REQUEST.fields
+        + [T.StructField(CORRUPT, T.StringType())]
     )
 
 
+def read_request_table(
+    spark: SparkSession, path: str, fmt: str = "json", keep: Sequence[str] = ()
+) -> DataFrame:
+    """A table of requests. Parquet keeps the types it has; values are then cast with care."""
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    reader = spark.read.schema(request_schema(keep)).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.format(fmt).load(path)
+
+
 def read_requests(
     spark: SparkSession,
     folder: str,
     fmt: str = "json",
     keep: Sequence[str] = (),
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """Request files of a folder as a stream."""
-    reader = spark.readStream.schema(request_schema(keep))
+    """Request files of a folder as a stream. A limit, of one kind only, bounds each batch of a backlog."""
+    schema = spark.read.parquet(folder).schema if fmt == "parquet" else request_schema(keep)
+    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.format(fmt).load(folder)
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -20,6 +21,7 @@ def spark():
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pricewright-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -8,7 +8,7 @@ from pricewright.operators import encode, evaluate, score
 from pricewright.plans import jobs, presets, training
 from pricewright.sources import sinks
 from pricewright.sources.sample import sample_requests
-from pricewright.streaming.scoring import read_requests, score_stream
+from pricewright.streaming.scoring import read_request_table, read_requests, score_stream
 
 
 @pytest.fixture(scope="module")
@@ -178,3 +178,67 @@ def test_stream_equals_batch(spark, star, model, tmp_path):
     streamed = sorted(map(str, spark.read.parquet(out).collect()))
     batch = sorted(map(str, score.score(requests, model, ("request_id",)).collect()))
     assert streamed == batch and len(batch) == 6000
+
+
+NAN, INF = float("nan"), float("inf")
+UNUSABLE = [
+    dict(freight_value=NAN), dict(product_weight_g=NAN), dict(product_width_cm=INF),
+    dict(product_avg_review=NAN), dict(category_avg_price=NAN), dict(seller_avg_price=-INF),
+]
+
+
+def test_numbers_that_are_none_are_rejected(spark, model):
+    rows = score.score(_frame(spark, [_request()] + [_request(**c) for c in UNUSABLE]), model, ("id",))
+    found = {r.id: r for r in rows.collect()}
+    assert found[0].error is None and found[0].predicted_price > 0
+    for i, changes in enumerate(UNUSABLE, 1):
+        assert f"{next(iter(changes))}: must be a finite number" in found[i].error
+        assert found[i].predicted_price is None
+
+
+def test_columns_of_another_type_are_cast_with_care(spark, model):
+    frame = _frame(spark, [_request(), _request()]).withColumn(
+        "product_weight_g", F.when(F.col("id") == 0, "500").otherwise("heavy")
+    )
+    rows = {r.id: r for r in score.score(frame, model, ("id",)).collect()}
+    assert rows[0].error is None and "product_weight_g: is no double" in rows[1].error
+
+
+def test_broken_records_are_rejected_in_batch_and_stream(spark, model, tmp_path):
+    import json
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [
+        json.dumps({"id": "good", **_request()}),
+        json.dumps({"id": "text", **_request(max_installments="abc")}),
+        json.dumps({"id": "score", **_request(product_avg_review="x")}),
+        "{broken",
+    ]
+    (folder / "a.json").write_text("\n".join(lines))
+    batch = score.score(read_request_table(spark, str(folder), keep=["id"]), model, ("id",)).collect()
+    stream = read_requests(spark, str(folder), keep=["id"], max_bytes_per_trigger="1000000")
+    out = str(tmp_path / "out")
+    score_stream(stream, model, out, str(tmp_path / "log"), ("id",)).awaitTermination()
+    for rows in (batch, spark.read.parquet(out).collect()):
+        assert len(rows) == 4
+        assert [r.id for r in rows if r.error is None] == ["good"]
+        assert sum("cannot be parsed" in (r.error or "") for r in rows) == 3
+
+
+def test_division_by_zero_gives_null(spark):
+    from pricewright.functions.features import with_physical_features
+
+    row = _frame(spark, [_request(product_weight_g=-1.0, product_length_cm=-0.001,
+                                  product_height_cm=10.0, product_width_cm=100.0)])
+    found = with_physical_features(row).first()
+    assert found.density is None and found.shipping_ratio is None
+
+
+def test_record_of_the_older_model(spark, stage, star):
+    space = {"n_estimators": [2], "max_depth": [2], "learning_rate": [0.3]}
+    trained = jobs.train_baseline(star, stage, space, 1, folds=2, result_path=stage.path("result"))
+    row = spark.read.schema(trained.record.schema).json(stage.path("result")).first()
+    assert row.features_count == 20 and row.features_numeric == schemas.BASELINE_NUMERIC
+    assert row.new_tables_used == [] and not row.leakage_fixed
+    assert trained.search.summary(spark).count() == 1

@@ -1,11 +1,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 
 from pricewright import schemas
-from pricewright.sources.star import one_task_per_core, read_csv_table, read_star, scan_counts
+from pricewright.sources.star import (
+    read_csv_table,
+    read_quarantined,
+    read_star,
+    scan_counts,
+    to_parquet,
+)
 from pricewright.stage import Stage, shared_dir
 
 FILES = {
@@ -75,18 +82,9 @@ def test_only_used_columns_are_read(spark, star):
     assert "l_tax" not in plan and "l_partkey" in plan
 
 
-def test_wide_scans_are_left_alone(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    path = str(tmp_path / "many")
-    spark.range(1000).repartition(4 * cores).write.parquet(path)
-    spark.conf.set("spark.sql.files.openCostInBytes", str(128 * 1024 * 1024))
-    try:
-        many = spark.read.parquet(path)
-        assert one_task_per_core(many) is many
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    few = spark.read.parquet(f"{path}/part-00000*")
-    assert one_task_per_core(few).rdd.getNumPartitions() == cores
+def test_scans_are_not_repartitioned(star):
+    for df in (star.items, star.items.groupBy().count()):
+        assert "RoundRobin" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_stage_tables(spark, stage):
@@ -98,24 +96,70 @@ def test_stage_tables(spark, stage):
     assert Stage(spark).root != stage.root
 
 
+def test_stage_is_removed(spark):
+    with Stage(spark) as stage:
+        stage.table(spark.range(3).toDF("x"), "t")
+        folder = stage.root.removeprefix("file:").replace("///", "/")
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    stage.remove()
+
+
 class _Session:
     """Just enough of a session to ask for the shared folder."""
 
-    def __init__(self, configured, master, current=None):
+    def __init__(self, configured, master, current=None, default="file:///"):
         session = self
 
         class conf:
             get = staticmethod(lambda key, default=None: configured or default)
 
+        class hadoop:
+            get = staticmethod(lambda key: default)
+
+        class jsc:
+            hadoopConfiguration = staticmethod(lambda: hadoop)
+
         class context:
             getCheckpointDir = staticmethod(lambda: current)
 
-        context.master = master
+        context.master, context._jsc = master, jsc
         session.conf, session.sparkContext = conf, context
 
 
 def test_shared_folder_is_the_named_one():
     assert shared_dir(_Session("hdfs://ckpt/", "yarn")) == "hdfs://ckpt"
     assert shared_dir(_Session(None, "yarn", "hdfs://set")) == "hdfs://set"
+    assert shared_dir(_Session("/ckpt", "yarn", default="hdfs://name")) == "/ckpt"
+    assert shared_dir(_Session("file:///ckpt", "local[4]")) == "file:///ckpt"
+    for folder in (None, "/ckpt", "file:///ckpt"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(_Session(folder, "yarn"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(_Session(None, "yarn"))
+        shared_dir(_Session(None, "local[4]"))
+
+
+def test_files_of_differing_column_order_are_refused(spark, tmp_path):
+    (tmp_path / "sellers").mkdir()
+    (tmp_path / "sellers/a.csv").write_text("seller_id,seller_state\ns1,SP\n")
+    (tmp_path / "sellers/b.csv").write_text("seller_state,seller_id\nRJ,s2\n")
+    with pytest.raises(Exception, match="header|Header"):
+        read_csv_table(spark, "sellers", str(tmp_path / "sellers")).collect()
+
+
+def test_quarantine(spark, tmp_path):
+    (tmp_path / "p.csv").write_text(
+        "order_id,payment_type,payment_installments\n"
+        "o1,boleto,3\no2,card,many\no3,,\no4,card, \n"
+    )
+    good, aside = read_quarantined(spark, "payments", str(tmp_path / "p.csv"))
+    assert sorted(r.order_id for r in good.collect()) == ["o1", "o3", "o4"]
+    (row,) = aside.collect()
+    assert row.reason == "payment_installments: no int: many" and "o2" in row.record
+
+
+def test_conversion_to_parquet(spark, csv_folder, tmp_path):
+    to_parquet(spark, csv_folder, str(tmp_path / "out"))
+    before = {r.table_name: r.row_count for r in scan_counts(read_star(spark, csv_folder)).collect()}
+    after = read_star(spark, str(tmp_path / "out"), fmt="parquet")
+    assert {r.table_name: r.row_count for r in scan_counts(after).collect()} == before
