@@ -96,25 +96,27 @@ def longest_previous_factor(order: np.ndarray, lcp: np.ndarray, floor: int = 0)
 
 
 def repeated_starts(
-    text: np.ndarray, starts: np.ndarray, length: int
+    text: np.ndarray, starts: np.ndarray, length: int, rank: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``starts`` (ascending) have a previous factor of ``length`` bytes or more among
-    them, and the first start (by index) with the same ``length`` bytes.
+    """Which of ``starts`` have a previous factor of ``length`` bytes or more among them, and the
+    first start (as an index) with the same ``length`` bytes.
 
-    Common prefixes below ``length`` are rounded down to a doubling step.
+    ``rank`` says which start counts as earlier; by default they are in order. Common prefixes below ``length`` are rounded down to a doubling step.
     """
     if not len(starts):
         return np.zeros(0, bool), np.zeros(0, np.int64)
     levels = ranks(text, length)
+    classes = levels[-1][1][starts]
+    rank = np.arange(len(starts)) if rank is None else rank
     # Within a class the order of suffixes is not known beyond ``length``, and does not matter.
-    order = np.argsort(levels[-1][1][starts], kind="stable")
+    order = np.lexsort((rank, classes))
     suffixes = starts[order]
     lcp = np.zeros(len(order), np.int64)
-    for size, rank in levels:
-        here = rank[suffixes]
+    for size, level in levels:
+        here = level[suffixes]
         lcp[1:][here[1:] == here[:-1]] = size
     found, first = np.zeros(len(starts), bool), np.empty(len(starts), np.int64)
-    found[order] = longest_previous_factor(suffixes, lcp, length) >= length
+    found[order] = longest_previous_factor(rank[order], lcp, length) >= length
     heads = np.flatnonzero(lcp < length)
     first[order] = order[np.repeat(heads, np.diff(np.append(heads, len(order))))]
     return found, first
@@ -229,9 +231,14 @@ def removed_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             k = k[np.logical_or.reduceat(twin, np.cumsum(count[k]) - count[k])]
         k = k[np.lexsort((versions[k], pos[k], ids[k]))]
         starts = _laid_out(size[k], count[k])
-        found, first = repeated_starts(text[R.spread(start[k], size[k])], starts, length)
         owner = np.repeat(np.arange(len(k)), count[k])
         place, who = R.spread(pos[k], count[k]), ids[k][owner]
+        rank = None
+        if versions.any():
+            rank = np.empty(len(starts), np.int64)
+            rank[np.lexsort((versions[k][owner], place, who))] = np.arange(len(starts))
+        joined = text[R.spread(start[k], size[k])]
+        found, first = repeated_starts(joined, starts, length, rank)
         # The same place in another version of the document is not an earlier start.
         found &= (who != who[first]) | (place != place[first])
         out.append(R.intervals(found, owner, ids[k], versions[k], pos[k], count[k]))

@@ -1,0 +1,150 @@
+"""SimHash groups and sharding against brute force."""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings, strategies as st
+
+from pricewright.llm import sharding, simhash
+from pricewright.llm.components import components
+from pricewright.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute(rows, radius=3):
+    prints = [fingerprint(t) for _, t in rows]
+    ids = [-(2**63) if d is None else d for d, _ in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= radius and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min(d for d, h in zip(ids, group) if h == g) for g in group}
+    name = lambda d: None if d == -(2**63) else d
+    return [(name(d), f"{p:016x}", name(least[g])) for d, p, g in zip(ids, prints, group)]
+
+
+def ordered(rows):
+    return sorted(map(tuple, rows), key=lambda r: tuple((v is not None, v) for v in r))
+
+
+@pytest.mark.parametrize("group, tile", [(8192, 2048), (1, 4)])
+def test_registered_query(spark, sample, monkeypatch, group, tile):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    monkeypatch.setattr(simhash, "TILE", tile)
+    assert ordered(QUERIES["op6_simhash"](spark, SMALL).collect()) == ordered(brute(sample))
+
+
+def test_odd_rows(documents, odd):
+    docs = documents(odd, extra=True)
+    assert ordered(simhash.near_duplicates(docs).collect()) == ordered(brute(odd))
+    assert simhash.near_duplicates(documents([])).count() == 0
+
+
+def test_one_row_of_each_group_stays(documents, odd):
+    docs = documents(odd, extra=True)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    expected = {c for _, _, c in brute(odd)}
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(expected, key=str)
+    assert simhash.one_of_each(documents([])).count() == 0
+
+
+def test_a_large_group_in_one_band(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP", 16)
+    monkeypatch.setattr(simhash, "TILE", 8)
+    rng = np.random.default_rng(1)
+    base = int(rng.integers(0, 2**62))
+    values = {base}
+    for _ in range(150):
+        flips = rng.choice(48, 2, replace=False)
+        values.add(base ^ (1 << int(flips[0])) ^ (1 << int(flips[1])))
+    near = len(values)
+    values |= {int(v) for v in rng.integers(0, 2**62, 100)}
+    distinct = spark.createDataFrame([(v,) for v in values], "fp long")
+    parent = {v: v for v in values}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for r in simhash.links(distinct).collect():
+        assert bin((r.a ^ r.b) & (2**64 - 1)).count("1") >= 1
+        a, b = find(r.a), find(r.b)
+        parent[max(a, b)] = min(a, b)
+    groups = Counter(find(v) for v in values)
+    assert max(groups.values()) >= near
+    everyone = sorted(values)
+    for i, v in enumerate(everyone):
+        for w in everyone[:i]:
+            if bin(v ^ w).count("1") <= 3:
+                assert find(v) == find(w)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 15), st.integers(0, 15)), max_size=20))
+def test_stars(pairs):
+    a = np.array([p[0] for p in pairs], np.int64)
+    b = np.array([p[1] for p in pairs], np.int64)
+    label = simhash.stars(a, b, 16)
+    expected = list(range(16))
+    for _ in range(16):
+        for x, y in pairs:
+            expected[x] = expected[y] = min(expected[x], expected[y])
+    assert label.tolist() == expected
+
+
+def test_components_of_a_long_chain(spark, stage):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
+    found = {r.node: r.root for r in components(links, stage).collect()}
+    assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+@pytest.mark.parametrize("total", [1, 2, 3, 24, 1000, 4097])
+def test_permutation(total):
+    numbers = np.arange(total)
+    to = sharding.permute(numbers, total)
+    assert sorted(to.tolist()) == numbers.tolist()
+    assert sharding.permute(to, total, invert=True).tolist() == numbers.tolist()
+
+
+def test_shards(spark, sample):
+    rows = QUERIES["op7_sharding"](spark, SMALL).collect()
+    texts = {d: (t or "").encode() for d, t in sample}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert (r["size"], r.text_crc32) == (len(texts[r.doc_id]) + 8, zlib.crc32(texts[r.doc_id]))
+        assert r.law == "rows" and r.grown_shard is None
+    counts = Counter(r.shard for r in rows)
+    assert set(counts) == set(range(24)) and max(counts.values()) - min(counts.values()) <= 1
+    for shard, n in counts.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(n))
+    again = QUERIES["op7_sharding"](spark, SMALL).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_shards_of_odd_rows(documents, odd):
+    rows = sharding.shard(documents(odd, extra=True)).collect()
+    assert len(rows) == len(odd) and {(r.shard, r.slot) for r in rows} == {
+        (p % 24, p // 24) for p in range(len(odd))
+    }
+    assert sharding.shard(documents([])).count() == 0
