@@ -14,7 +14,8 @@ _PARTS: dict[str, str] = {
         FROM lineitem""",
     "products": """
         SELECT p_partkey AS product_id,
-               CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE p_type END AS product_category_name,
+               CASE WHEN p_partkey % 23 = 0 THEN NULL
+                    ELSE p_type || ' ' || p_brand END AS product_category_name,
                length(p_name) AS product_name_lenght,
                200 + p_partkey % 800 AS product_description_lenght,
                1 + p_partkey % 6 AS product_photos_qty,
@@ -25,8 +26,9 @@ _PARTS: dict[str, str] = {
                CAST(p_partkey % 60 AS DOUBLE) AS product_width_cm
         FROM part""",
     "translation": """
-        SELECT DISTINCT p_type AS product_category_name,
-               lower(p_type) AS product_category_name_english
+        SELECT DISTINCT p_type || ' ' || p_brand AS product_category_name,
+               lower(p_type || CASE WHEN p_type = 'PROMO' THEN chr(39) || 's ' ELSE ' ' END || p_brand)
+                 AS product_category_name_english
         FROM part WHERE p_type <> 'ECONOMY'""",
     "sales_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
@@ -41,7 +43,10 @@ _PARTS: dict[str, str] = {
     "reviews": """
         SELECT event_id AS review_id, event_id // 2 AS order_id,
                1 + CAST(floor(value) AS INT) % 5 AS review_score, ts AS review_creation_date
-        FROM events""",
+        FROM events
+        WHERE event_id // 2 NOT IN (
+            SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey
+            WHERE p_partkey % 23 <> 0 AND p_type = 'LARGE' AND p_brand = 'Brand#11')""",
     "customers": """
         SELECT c_custkey AS customer_id, n_name AS customer_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
@@ -137,7 +142,9 @@ _PARTS: dict[str, str] = {
           AND complexity_score IS NOT NULL AND purchase_month IS NOT NULL
           AND product_avg_review IS NOT NULL AND seller_avg_review IS NOT NULL
           AND max_installments IS NOT NULL AND product_sales_count IS NOT NULL
-          AND seller_sales_count IS NOT NULL AND seller_product_diversity IS NOT NULL""",
+          AND seller_sales_count IS NOT NULL AND seller_product_diversity IS NOT NULL
+          AND density IS NOT NULL AND shipping_ratio IS NOT NULL AND log_weight IS NOT NULL
+          AND log_volume IS NOT NULL AND is_peak_season IS NOT NULL AND price IS NOT NULL""",
     "bounds": """
         SELECT quantile_cont(price, 0.01) AS low, quantile_cont(price, 0.99) AS high
         FROM complete""",
@@ -207,7 +214,12 @@ _PARTS: dict[str, str] = {
           AND product_photos_qty IS NOT NULL AND freight_value IS NOT NULL
           AND complexity_score IS NOT NULL AND purchase_hour IS NOT NULL
           AND category_avg_price IS NOT NULL AND product_category_name_english IS NOT NULL
-          AND size_category IS NOT NULL""",
+          AND size_category IS NOT NULL AND density IS NOT NULL AND shipping_ratio IS NOT NULL
+          AND log_weight IS NOT NULL AND log_volume IS NOT NULL AND purchase_month IS NOT NULL
+          AND purchase_day_of_week IS NOT NULL AND is_weekend IS NOT NULL
+          AND is_peak_season IS NOT NULL AND product_sales_count IS NOT NULL
+          AND seller_sales_count IS NOT NULL AND seller_product_diversity IS NOT NULL
+          AND price IS NOT NULL""",
     "baseline_bounds": """
         SELECT quantile_cont(price, 0.01) AS low, quantile_cont(price, 0.99) AS high
         FROM baseline_complete""",
@@ -252,8 +264,9 @@ _PARTS: dict[str, str] = {
     # Scoring.
     "requests": """
         SELECT item_key AS request_id,
-               CASE WHEN order_id % 50 = 0 THEN -freight_value ELSE freight_value END
-                 AS freight_value,
+               CASE WHEN order_id % 50 = 0 THEN -freight_value
+                    WHEN order_id % 110 = 1 THEN CAST('NaN' AS DOUBLE)
+                    ELSE freight_value END AS freight_value,
                product_photos_qty, product_weight_g, product_length_cm, product_height_cm,
                product_width_cm, product_description_lenght, product_name_lenght,
                product_category_name_english,
@@ -269,6 +282,7 @@ _PARTS: dict[str, str] = {
     "checked": """
         SELECT *, concat_ws('; ',
             CASE WHEN freight_value IS NULL THEN 'freight_value: required' END,
+            CASE WHEN isnan(freight_value) THEN 'freight_value: must be a finite number' END,
             CASE WHEN freight_value < 0 THEN 'freight_value: must be >= 0' END,
             CASE WHEN product_photos_qty IS NULL THEN 'product_photos_qty: required' END,
             CASE WHEN product_photos_qty < 0 THEN 'product_photos_qty: must be >= 0' END,
@@ -318,6 +332,20 @@ _PARTS: dict[str, str] = {
                     ELSE 'very_large' END AS size_category,
                CASE WHEN purchase_month IN (11, 12) THEN 1 ELSE 0 END AS is_peak_season
         FROM accepted""",
+    # Models.
+    "baseline_split": """
+        SELECT ln(1 + price) AS label,
+               CASE WHEN CAST('0x' || substr(md5(item_key), 1, 8) AS UBIGINT) % 5 = 0
+                    THEN 'test' ELSE 'train' END AS split
+        FROM baseline_complete""",
+    "line": """
+        SELECT regr_slope(label, complexity_score) AS slope,
+               regr_intercept(label, complexity_score) AS intercept
+        FROM encoded WHERE split = 'train'""",
+    "priced_requests": """
+        SELECT request_id,
+               round_even(exp(intercept + slope * complexity_score) - 1, 2) AS predicted_price
+        FROM accepted_features CROSS JOIN line""",
 }
 
 
@@ -506,4 +534,61 @@ _BODIES: dict[str, str] = {
         SELECT request_id, {_CURRENT}, {_i('max_installments')} FROM accepted_features """,
 }
 
+
+
+def _fit(algorithm: str, rows: str) -> str:
+    return f"""
+        SELECT '{algorithm}' AS algorithm,
+               count(CASE WHEN split = 'train' THEN 1 END) AS train_rows,
+               count(CASE WHEN split = 'test' THEN 1 END) AS test_rows,
+               {_r("avg(CASE WHEN split = 'train' THEN label END)").rsplit(" AS ", 1)[0]}
+                 AS mean_label, TRUE AS mean_kept, TRUE AS finite_scores
+        FROM {rows} """
+
+
+def _search(candidates: int) -> str:
+    return f"""
+        SELECT {candidates} AS candidates, 1 AS winners, TRUE AS winner_is_best,
+               {candidates} AS distinct_params, TRUE AS within_space"""
+
+
+_SCORED = f"""
+        SELECT request_id, {_r('predicted_price')}, nullif(reasons, '') AS error
+        FROM checked LEFT JOIN priced_requests USING (request_id) """
+
+_BODIES |= {
+    "scan_counts_csv": _BODIES["scan_counts"],
+    "category_median_sales_csv": _BODIES["category_median_sales"],
+    "category_avg_review_csv": _BODIES["category_avg_review"],
+    "fit_linear": _fit("Linear Regression", "baseline_split"),
+    "fit_tree": _fit("Decision Tree", "baseline_split"),
+    "fit_forest": _fit("Random Forest", "baseline_split"),
+    "fit_gbt": _fit("Gradient Boosting", "baseline_split"),
+    "fit_gbt_tuned": _fit("Gradient Boosting, tuned", "encoded"),
+    "tune_summary": _search(3),
+    "tune_summary_baseline": _search(2),
+    "result_record": """
+        SELECT 'GBT' AS algorithm, 26 AS features_count,
+               'freight_value,product_photos_qty,product_weight_g,'
+               || 'product_volume_cm3,product_description_lenght,product_name_lenght,'
+               || 'density,shipping_ratio,complexity_score,log_weight,log_volume,'
+               || 'purchase_month,is_peak_season,product_avg_review,seller_avg_review,'
+               || 'max_installments,product_sales_count,seller_sales_count,'
+               || 'seller_product_diversity,category_avg_price,seller_avg_price' AS features_numeric,
+               'product_category_name_english,size_category,payment_type_mode,customer_state,seller_state' AS features_categorical, 7 AS params,
+               'olist_order_payments_dataset.csv,olist_order_reviews_dataset.csv,'
+               || 'olist_customers_dataset.csv,olist_sellers_dataset.csv' AS new_tables_used,
+               TRUE AS leakage_fixed, TRUE AS r2_delta_right, TRUE AS mae_delta_right""",
+    "model_comparison": """
+        SELECT unnest(['Linear Regression', 'Decision Tree', 'Random Forest',
+                       'Gradient Boosting']) AS algorithm, TRUE AS in_order""",
+    "model_roundtrip": """
+        SELECT count(*) AS rows, 0 AS different FROM encoded WHERE split = 'test'""",
+    "score_batch": _SCORED,
+    "score_stream": _SCORED,
+    "score_batch_tree": """
+        SELECT request_id, CASE WHEN reasons = '' THEN TRUE END AS priced,
+               nullif(reasons, '') AS error FROM checked """,
+}
+
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in _BODIES.items()}

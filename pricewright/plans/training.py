@@ -38,12 +38,15 @@ class FeatureSet:
         """
         indexed = [f"{c}__index" for c in self.categorical]
         encoded = [f"{c}__onehot" for c in self.categorical]
+        assemble = VectorAssembler(
+            inputCols=[*self.numeric, *encoded], outputCol="features", handleInvalid="error"
+        )
+        if not self.categorical:
+            return [assemble]
         return [
             StringIndexer(inputCols=list(self.categorical), outputCols=indexed, handleInvalid="keep"),
             OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-            VectorAssembler(
-                inputCols=[*self.numeric, *encoded], outputCol="features", handleInvalid="error"
-            ),
+            assemble,
         ]
 
 

@@ -7,6 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .star import StarSchema
 
 
+#: Category of a part, its English name (some hold a quote), and one whose orders have no reviews.
+CATEGORY = "concat(p_type, ' ', p_brand)"
+ENGLISH = "lower(concat(p_type, if(p_type = 'PROMO', \"'s \", ' '), p_brand))"
+UNREVIEWED = "LARGE Brand#11"
+
+
 def sample_items(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(
         "l_orderkey AS order_id",
@@ -25,7 +31,7 @@ def sample_star(spark: SparkSession, folder: str) -> StarSchema:
     lineitem, nation = table("lineitem"), table("nation")
     products = table("part").selectExpr(
         "p_partkey AS product_id",
-        "CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE p_type END AS product_category_name",
+        f"CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE {CATEGORY} END AS product_category_name",
         "length(p_name) AS product_name_lenght",
         "200 + p_partkey % 800 AS product_description_lenght",
         "1 + p_partkey % 6 AS product_photos_qty",
@@ -37,9 +43,10 @@ def sample_star(spark: SparkSession, folder: str) -> StarSchema:
     translation = (
         table("part")
         .filter("p_type <> 'ECONOMY'")
-        .select(F.col("p_type").alias("product_category_name"))
+        .selectExpr(
+            f"{CATEGORY} AS product_category_name", f"{ENGLISH} AS product_category_name_english"
+        )
         .distinct()
-        .withColumn("product_category_name_english", F.lower("product_category_name"))
     )
     orders = table("orders").selectExpr(
         "o_orderkey AS order_id",
@@ -58,6 +65,12 @@ def sample_star(spark: SparkSession, folder: str) -> StarSchema:
         "1 + CAST(floor(value) AS INT) % 5 AS review_score",
         "ts AS review_creation_date",
     )
+    silent = (
+        lineitem.join(products, F.col("l_partkey") == F.col("product_id"))
+        .filter(F.col("product_category_name") == UNREVIEWED)
+        .select(F.col("l_orderkey").alias("order_id"))
+    )
+    reviews = reviews.join(silent, "order_id", "left_anti")
     customers = (
         table("customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -96,6 +109,7 @@ def sample_requests(items: DataFrame, star: StarSchema) -> DataFrame:
         .select(
             item_key().alias("request_id"),
             F.when(F.col("order_id") % 50 == 0, -F.col("freight_value"))
+            .when(F.col("order_id") % 110 == 1, float("nan"))
             .otherwise(F.col("freight_value"))
             .alias("freight_value"),
             F.col("product_photos_qty").cast("int").alias("product_photos_qty"),

@@ -17,7 +17,9 @@ COMPARED = [
     "seller_avg_review", "product_demand", "seller_demand", "order_item_facts",
     "physical_features", "size_category", "date_features", "median_impute", "baseline_clean_rows",
     "baseline_features", "feature_row", "split_counts", "target_roundtrip", "regression_metrics",
-    "one_hot_levels", "score_validate", "score_features",
+    "one_hot_levels", "score_validate", "score_features", "scan_counts_csv", "category_median_sales_csv",
+    "top_categories", "bottom_categories", "category_seed_rows", "fit_linear", "fit_tree",
+    "model_roundtrip", "score_batch", "score_stream", "score_batch_tree",
 ]
 
 
@@ -33,4 +35,4 @@ def test_query(spark, con, name):
 
 def test_registry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert entry.entry(spark).count() == 5
+    assert entry.entry(spark).count() == 91
