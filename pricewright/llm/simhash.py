@@ -266,7 +266,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -
     if not repeated:
         return docs.join(best, same, "left_semi")
     # Rows that are alike in id and text are one document; one of them stays.
-    order = Window.partitionBy("_id", "_version").orderBy(F.lit(1))
+    rest = F.xxhash64(*[F.to_json(F.struct(docs[f"`{c}`"])) for c in docs.columns])
+    order = Window.partitionBy("_id", "_version").orderBy(rest)
     kept = docs.join(best, same).withColumn("_place", F.row_number().over(order))
     return kept.filter("_place = 1").drop("_id", "_version", "_place")
 

@@ -36,6 +36,9 @@ WIDTH = 1 << 18
 FOLDS = 3
 #: Held-out rows of the sample data lose almost no clean document at this threshold.
 THRESHOLD = 0.3
+#: Partitions of the bounded training table: few enough for the driver to sum their gradients
+#: without a further exchange in each step of a fit.
+PARTITIONS = 4
 _PREFIXES = (4, 6)
 _WORDS = 1 << 20
 _FOLD = np.array(
@@ -149,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Chain:
         solver = LogisticRegression(
             labelCol=category, maxIter=60, regParam=1e-4, standardization=False, tol=1e-5
         )
-        final = solver.fit(table)
+        final = solver.fit(table.coalesce(PARTITIONS))
         weights.append(final.coefficients.toArray())
         intercepts.append(final.intercept)
         if i + 1 < len(CATEGORIES):
@@ -163,7 +166,7 @@ def _out_of_fold(table: DataFrame, solver: LogisticRegression, i: int, category:
     for fold in range(FOLDS):
         others = table.filter(F.col("fold") != fold)
         if others.select(category).distinct().count() > 1:
-            model = solver.fit(others)
+            model = solver.fit(others.coalesce(PARTITIONS))
             models.append((model.coefficients.toArray(), model.intercept))
         else:
             models.append((np.zeros(WIDTH + len(CATEGORIES)), 0.0))
