@@ -34,6 +34,11 @@ CATEGORIES = ("quality", "toxic")
 TRAIN_ROWS = 30_000
 WIDTH = 1 << 18
 FOLDS = 3
+#: Strength of the normal prior on the weights. MLlib penalises the mean loss, so it is divided by
+#: the number of rows.
+PENALTY = 1.5
+#: Solver steps for the category that decides, and for the earlier ones, which only give it a feature.
+STEPS, EARLIER_STEPS = 60, 20
 #: Held-out rows of the sample data lose almost no clean document at this threshold.
 THRESHOLD = 0.3
 #: Partitions of the bounded training table: few enough for the driver to sum their gradients
@@ -150,7 +155,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Chain:
             intercepts.append(0.0)
             continue
         solver = LogisticRegression(
-            labelCol=category, maxIter=60, regParam=1e-4, standardization=False, tol=1e-5
+            labelCol=category,
+            maxIter=STEPS if category == CATEGORIES[-1] else EARLIER_STEPS,
+            regParam=PENALTY / table.count(),
+            standardization=False,
+            tol=1e-5,
         )
         final = solver.fit(table.coalesce(PARTITIONS))
         weights.append(final.coefficients.toArray())
