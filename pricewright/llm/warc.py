@@ -31,6 +31,7 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .tables import read, stage
@@ -56,7 +57,7 @@ def write_archives(files: DataFrame, path: str, end: bytes) -> None:
     """Write each row's ``content``, which lacks the final ``end``, as one compressed file."""
     files.select(F.col("content").cast("string")).write.option("lineSep", end.decode()).option(
         "compression", "gzip"
-    ).option("maxRecordsPerFile", 1).text(path)
+    ).option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1).text(path)
 
 
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
@@ -198,7 +199,17 @@ _RECORD_TYPES = [
 ]
 
 
-def _warc_fields(record: ArcRecord) -> tuple:
+#: What to do with payloads on the way: leave them out, keep them, or keep them compressed.
+NONE, RAW, PACKED = "none", "raw", "packed"
+
+
+def _carried(payload: bytes, how: str) -> bytes | None:
+    if how == PACKED:
+        return zstandard.ZstdCompressor(level=1).compress(payload)
+    return payload if how == RAW else None
+
+
+def _warc_fields(record: ArcRecord, how: str = RAW) -> tuple:
     http = record.block.startswith(b"HTTP/")
     info = record.url.startswith("filedesc://")
     head, payload = split_http(record.block) if http else (b"", record.block)
@@ -214,21 +225,21 @@ def _warc_fields(record: ArcRecord) -> tuple:
         record.mime,
         int(page) if page else None,
         head,
-        payload,
+        _carried(payload, how),
         digest,
         len(payload),
         record.cut,
     )
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
+def read_arc(spark: SparkSession, path: str, payload: str = RAW) -> DataFrame:
     """The records of all ARC files of a folder, with the WARC fields they will have."""
     names = [f.split()[0] for f in _RECORD.split(", ")]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
-                rows = [_warc_fields(r) for r in parse_arc(inflate(content.as_py()))]
+                rows = [_warc_fields(r, payload) for r in parse_arc(inflate(content.as_py()))]
                 if rows:
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows), _RECORD_TYPES)]
                     yield pa.RecordBatch.from_arrays(columns, names)
@@ -248,7 +259,9 @@ def warc_record(fields: dict[str, str | None], block: bytes) -> bytes:
 def _warc_of(row: dict) -> bytes:
     revisit = row["refers_to"] is not None
     kind = "revisit" if revisit else row["kind"]
-    block = row["head"] if revisit else row["head"] + row["payload"]
+    block = row["head"]
+    if not revisit:
+        block += zstandard.ZstdDecompressor().decompress(row["payload"])
     http = row["kind"] == "response"
     fields = {
         "WARC-Type": kind,
@@ -270,7 +283,7 @@ def _warc_of(row: dict) -> bytes:
 
 
 def warc_files(records: DataFrame) -> DataFrame:
-    """``name, content`` of WARC files of converted records."""
+    """``name, content`` of WARC files of converted records with packed payloads."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -352,8 +365,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
     """Convert all ARC files of a folder to WARC files in another."""
-    records = read_arc(spark, arc_path)
-    slim = records.filter("kind = 'response'").select(
+    slim = read_arc(spark, arc_path, NONE).filter("kind = 'response'").select(
         "page_id", "payload_digest", "payload_bytes", "record_id", "url", "date"
     )
     large = slim.filter(F.col("payload_bytes") >= REVISIT_BYTES)
@@ -372,7 +384,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
         )
         .distinct()
     )
-    write_archives(warc_files(records.join(later, "record_id", "left")), warc_path, END)
+    records = read_arc(spark, arc_path, PACKED).join(later, "record_id", "left")
+    write_archives(warc_files(records), warc_path, END)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
