@@ -46,7 +46,7 @@ _PARTS: dict[str, str] = {
         FROM events
         WHERE event_id // 2 NOT IN (
             SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey
-            WHERE p_partkey % 23 <> 0 AND p_type = 'LARGE' AND p_brand = 'Brand#11')""",
+            WHERE p_partkey % 23 <> 0 AND p_type = 'SMALL' AND p_brand = 'Brand#3')""",
     "customers": """
         SELECT c_custkey AS customer_id, n_name AS customer_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",

@@ -10,7 +10,7 @@ from .star import StarSchema
 #: Category of a part, its English name (some hold a quote), and one whose orders have no reviews.
 CATEGORY = "concat(p_type, ' ', p_brand)"
 ENGLISH = "lower(concat(p_type, if(p_type = 'PROMO', \"'s \", ' '), p_brand))"
-UNREVIEWED = "LARGE Brand#11"
+UNREVIEWED = "SMALL Brand#3"
 
 
 def sample_items(lineitem: DataFrame) -> DataFrame:
