@@ -32,7 +32,9 @@ from .tables import read, stage, text_of
 CATEGORIES = ("quality", "toxic")
 #: Bound on the labelled rows that the models are fitted on.
 TRAIN_ROWS = 30_000
-WIDTH = 1 << 18
+#: Hashed features. A gradient of as many doubles stays below the megabyte up to which Spark sends a
+#: task's result to the driver directly.
+WIDTH = 120_000
 FOLDS = 3
 #: Strength of the normal prior on the weights. MLlib penalises the mean loss, so it is divided by
 #: the number of rows.
@@ -67,7 +69,7 @@ def features(text: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarra
         own = [R.word_hashes(text, s, e)]
         for size in _PREFIXES:
             own.append(R.mix(R.word_hashes(text, s, np.minimum(e, s + size)) + np.uint64(size)))
-        found = [rows + (h >> np.uint64(46)).astype(np.int64) for h in own]
+        found = [rows + (h % np.uint64(WIDTH)).astype(np.int64) for h in own]
         keys.append(np.unique(np.concatenate(found)))
     key = np.unique(np.concatenate(keys)) if len(keys) > 2 else keys[-1]
     return key // WIDTH, key % WIDTH
