@@ -42,7 +42,7 @@ SYMBOLS = b"#*$%&|<>"
 FEATURES = {
     "log_words": 0.25,
     "log_word_length": 0.05,
-    "symbol_rate": 0.5,
+    "root_symbol_rate": 0.04,
     "dup_line_share": 0.1,
     "repeat_share": 0.1,
 }
@@ -132,7 +132,7 @@ def _features() -> list[Column]:
     values = [
         F.log1p("n_words"),
         F.log(chars / words),
-        F.log1p(1000 * F.col("n_symbols") / chars),
+        F.sqrt(F.col("n_symbols") / chars),
         F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
         F.col("n_repeat_words") / words,
     ]
