@@ -13,22 +13,25 @@ from pricewright.llm.decontaminate import without_matches
 from pricewright.llm.packing import pack
 from pricewright.llm.pii import sanitize
 from pricewright.llm.simhash import one_of_each
-from pricewright.llm.tables import read, stage
+from pricewright.llm.tables import read, small_batches, stage
 from pricewright.llm.toxicity import fit, without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain rejects go."""
+    small_batches(spark)
     return without_toxic(docs, fit(docs, read(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that with the smallest id."""
+    small_batches(spark)
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
+    small_batches(spark)
     return without_matches(docs, read(spark, sf_dir, "benchmark"))
 
 

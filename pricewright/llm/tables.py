@@ -21,6 +21,14 @@ def stage(spark: SparkSession) -> Stage:
     return Stage(spark)
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Let Arrow send texts to Python workers in batches of at most ``size``, unless the session
+    names a size: a batch is held by the JVM and by the worker, in each direction."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, size)
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(df[column].cast("string"), F.lit(""))
