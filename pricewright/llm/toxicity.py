@@ -6,8 +6,10 @@ out-of-fold models, so no model sees a prediction made with its own row; scoring
 fitted on all training rows. The categories are the label columns, in order; the last decides.
 
 Features are the presence of lower-cased words and of their first four and six bytes (inflected
-forms share beginnings), hashed to a fixed width. The models are fitted by MLlib on at most about
-``TRAIN_ROWS`` labelled documents, picked by a hash of the id; all documents are scored, whole.
+forms share beginnings), hashed to a fixed width. The models are fitted on at most about
+``TRAIN_ROWS`` labelled documents, picked by a hash of the id; all documents are scored, whole. The
+bounded training table is solved by one task: a distributed solver would send a gradient of the
+full width through the driver for every step of every model.
 
 Defined cases: null and empty texts have no features and get the prior odds; labels that are null in
 any category, or whose document is missing, are not used; without any usable label, or with one class
@@ -18,12 +20,12 @@ other than ``doc_id`` and ``text`` are not used.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import runs as R
@@ -32,20 +34,15 @@ from .tables import read, stage, text_of
 CATEGORIES = ("quality", "toxic")
 #: Bound on the labelled rows that the models are fitted on.
 TRAIN_ROWS = 30_000
-#: Hashed features. A gradient of as many doubles stays below the megabyte up to which Spark sends a
-#: task's result to the driver directly.
+#: Hashed features.
 WIDTH = 120_000
 FOLDS = 3
-#: Strength of the normal prior on the weights. MLlib penalises the mean loss, so it is divided by
-#: the number of rows.
-PENALTY = 1.5
+#: Strength of the normal prior on the weights.
+PENALTY = 0.3
 #: Solver steps for the category that decides, and for the earlier ones, which only give it a feature.
 STEPS, EARLIER_STEPS = 60, 20
 #: Held-out rows of the sample data lose almost no clean document at this threshold.
-THRESHOLD = 0.3
-#: Partitions of the bounded training table: few enough for the driver to sum their gradients
-#: without a further exchange in each step of a fit.
-PARTITIONS = 4
+THRESHOLD = 0.2
 _PREFIXES = (4, 6)
 _WORDS = 1 << 20
 _FOLD = np.array(
@@ -82,25 +79,22 @@ def _batches(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.n
 
 
 def _sparse(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` and ``features`` as an MLlib vector."""
+    """``keep`` and ``features``, the features of each row."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = []
             for i, j, row, feature in _batches(batch):
-                lists += np.split(feature, np.searchsorted(row, np.arange(1, j - i)))
+                own = feature.astype(np.int32)
+                lists += np.split(own, np.searchsorted(row, np.arange(1, j - i)))
             columns = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(lists, pa.list_(pa.int64()))], [*keep, "at"]
+                [*columns, pa.array(lists, pa.list_(pa.int32()))], [*keep, "features"]
             )
 
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in keep)
-    vector = F.udf(
-        lambda at: SparseVector(WIDTH + len(CATEGORIES), at, np.ones(len(at))), VectorUDT()
-    )
-    found = docs.select(*keep, "text").mapInArrow(each, f"{schema}, at array<bigint>")
-    return found.select(*keep, vector("at").alias("features"))
+    return docs.select(*keep, "text").mapInArrow(each, f"{schema}, features array<int>")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
@@ -117,11 +111,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     return text.join(F.broadcast(picked), "doc_id").withColumn("fold", fold)
 
 
-def _with_odds(row: SparseVector, at: int, odds: float) -> SparseVector:
-    indices = np.append(row.indices, WIDTH + at)
-    return SparseVector(row.size, indices, np.append(row.values, odds))
-
-
 class Chain:
     """Fitted weights of each category: (width + categories) each, and the intercept."""
 
@@ -143,53 +132,141 @@ class Chain:
         return out
 
 
+@dataclass
+class Rows:
+    """Training rows: present features, row after row, and the odds of earlier categories."""
+
+    feature: np.ndarray
+    ends: np.ndarray
+    odds: np.ndarray  # rows x categories
+
+    def take(self, keep: np.ndarray) -> Rows:
+        size = np.diff(self.ends, prepend=0)
+        place = R.spread((self.ends - size)[keep], size[keep])
+        return Rows(self.feature[place], np.cumsum(size[keep]), self.odds[keep])
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        out = self.odds @ weights[WIDTH:-1] + weights[-1]
+        for i, j, a, b in self._parts():
+            sums = np.concatenate([[0.0], np.cumsum(weights[self.feature[a:b]])])
+            out[i:j] += np.diff(sums[np.append(0, self.ends[i:j] - a)])
+        return out
+
+    def gradient(self, slope: np.ndarray) -> np.ndarray:
+        """Sum over the rows of ``slope`` times the row."""
+        out = np.zeros(WIDTH + self.odds.shape[1] + 1)
+        for i, j, a, b in self._parts():
+            size = np.diff(self.ends[i:j], prepend=a)
+            out[:WIDTH] += np.bincount(self.feature[a:b], np.repeat(slope[i:j], size), WIDTH)
+        out[WIDTH:-1], out[-1] = slope @ self.odds, slope.sum()
+        return out
+
+    def _parts(self, rows: int = 2000) -> Iterator[tuple[int, int, int, int]]:
+        for i in range(0, len(self.ends), rows):
+            j = min(i + rows, len(self.ends))
+            yield i, j, int(self.ends[i - 1]) if i else 0, int(self.ends[j - 1])
+
+
+def solve(rows: Rows, label: np.ndarray, steps: int) -> np.ndarray:
+    """Weights, odds' weights and intercept of a regression with a normal prior on the weights, by
+    limited-memory quasi-Newton steps with backtracking."""
+    n = len(label)
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        z = rows.margins(x)
+        value = (np.logaddexp(0, z) - label * z).mean() + PENALTY / n * (x[:-1] @ x[:-1]) / 2
+        slope = rows.gradient((1 / (1 + np.exp(-z)) - label) / n)
+        slope[:-1] += PENALTY / n * x[:-1]
+        return value, slope
+
+    x = np.zeros(WIDTH + rows.odds.shape[1] + 1)
+    value, slope = loss(x)
+    pairs: deque[tuple[np.ndarray, np.ndarray]] = deque(maxlen=10)
+    for _ in range(steps):
+        way, shares = slope.copy(), []
+        for s, y in reversed(pairs):
+            shares.append((s @ way) / (s @ y))
+            way -= shares[-1] * y
+        if pairs:
+            s, y = pairs[-1]
+            way *= (s @ y) / (y @ y)
+        for (s, y), share in zip(pairs, reversed(shares)):
+            way += (share - (y @ way) / (s @ y)) * s
+        size, fall = 1.0, slope @ way
+        while True:
+            there = x - size * way
+            next_value, next_slope = loss(there)
+            if next_value <= value - 1e-4 * size * fall or size < 1e-6:
+                break
+            size /= 2
+        s, y = there - x, next_slope - slope
+        if s @ y > 1e-14:
+            pairs.append((s, y))
+        done = value - next_value < 1e-9
+        x, value, slope = there, next_value, next_slope
+        if done:
+            break
+    return x
+
+
+def fit_rows(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray | None]:
+    """Weights of each category in turn; odds for later ones come from models of other folds."""
+    out: list[np.ndarray | None] = []
+    for c in range(labels.shape[1]):
+        label = labels[:, c].astype(float)
+        if len(np.unique(label)) < 2:
+            out.append(None)
+            continue
+        last = c + 1 == labels.shape[1]
+        out.append(solve(rows, label, STEPS if last else EARLIER_STEPS))
+        if not last:
+            odds = rows.odds.copy()
+            for f in range(FOLDS):
+                own, others = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+                if len(own) and len(np.unique(label[others])) > 1:
+                    model = solve(rows.take(others), label[others], EARLIER_STEPS)
+                    odds[own, c] = np.clip(rows.take(own).margins(model), -30, 30)
+            rows = Rows(rows.feature, rows.ends, odds)
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Chain:
-    """Fit the chain. Fold models and final models are MLlib regressions over one written table."""
+    """Fit the chain on a bounded, written training table, in one task."""
     store = stage(docs.sparkSession)
     table = store.table(
-        _sparse(training_rows(docs, labels, rows), ["doc_id", "fold", *CATEGORIES]), "train-0"
+        _sparse(training_rows(docs, labels, rows), ["doc_id", "fold", *CATEGORIES]), "train"
+    )
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [
+            (
+                b.column("features").flatten().to_numpy(),
+                np.diff(b.column("features").offsets.to_numpy()),
+                np.stack([b.column(c).to_numpy() for c in CATEGORIES], 1),
+                b.column("fold").to_numpy(),
+            )
+            for b in batches
+            if b.num_rows
+        ]
+        if parts:
+            feature, size, label, fold = (np.concatenate(c) for c in zip(*parts))
+            del parts
+            own = Rows(feature, np.cumsum(size), np.zeros((len(size), len(CATEGORIES))))
+            found = fit_rows(own, label, fold)
+            blobs = [None if w is None else w.tobytes() for w in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(found)), pa.int32()), pa.array(blobs, pa.binary())],
+                ["category", "weights"],
+            )
+
+    # One row for each category.
+    found = table.coalesce(1).mapInArrow(each, "category int, weights binary").collect()
+    weights = {r.category: np.frombuffer(r.weights) for r in found if r.weights is not None}
+    known = [weights.get(c) for c in range(len(CATEGORIES))]
+    return Chain(
+        [None if w is None else w[:-1] for w in known],
+        [0.0 if w is None else float(w[-1]) for w in known],
     )
-    weights, intercepts = [], []
-    for i, category in enumerate(CATEGORIES):
-        classes = table.select(category).distinct().count()
-        if classes < 2:
-            weights.append(None)
-            intercepts.append(0.0)
-            continue
-        solver = LogisticRegression(
-            labelCol=category,
-            maxIter=STEPS if category == CATEGORIES[-1] else EARLIER_STEPS,
-            regParam=PENALTY / table.count(),
-            standardization=False,
-            tol=1e-5,
-        )
-        final = solver.fit(table.coalesce(PARTITIONS))
-        weights.append(final.coefficients.toArray())
-        intercepts.append(final.intercept)
-        if i + 1 < len(CATEGORIES):
-            table = store.table(_out_of_fold(table, solver, i, category), f"train-{i + 1}")
-    return Chain(weights, intercepts)
-
-
-def _out_of_fold(table: DataFrame, solver: LogisticRegression, i: int, category: str) -> DataFrame:
-    """``table`` with the log odds of models fitted on the other folds as a further feature."""
-    models = []
-    for fold in range(FOLDS):
-        others = table.filter(F.col("fold") != fold)
-        if others.select(category).distinct().count() > 1:
-            model = solver.fit(others.coalesce(PARTITIONS))
-            models.append((model.coefficients.toArray(), model.intercept))
-        else:
-            models.append((np.zeros(WIDTH + len(CATEGORIES)), 0.0))
-    shared = table.sparkSession.sparkContext.broadcast(models)
-
-    @F.udf(VectorUDT())
-    def extended(row: SparseVector, fold: int) -> SparseVector:
-        weights, intercept = shared.value[fold]
-        odds = float(weights[row.indices] @ row.values + intercept)
-        return _with_odds(row, i, max(-30.0, min(30.0, odds)))
-
-    return table.withColumn("features", extended("features", "fold"))
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> DataFrame:
