@@ -1,13 +1,17 @@
 """Information-theoretic removal of personal data, in DataFrame expressions only.
 
 Method: patterns find the protected entities (mail and IP addresses, card and phone numbers). Corpus
-counts then estimate how strongly the words near an entity reveal it: with N documents, df(e) of
-which hold the entity, df(t) the term, and n(e, t) the entity with the term near it, the pointwise
+counts then estimate how strongly the words of its documents reveal it: with N documents, df(e) of
+which hold the entity, df(t) the term, and n(e, t) both, the pointwise
 mutual information log2(n N / (df(e) df(t))) over the information content log2(N / df(e)) is the share
 of the entity's information that the term discloses; it is 1 if the term occurs nowhere
 else. A term that reaches ``THRESHOLD`` for an entity, with a support of ``SUPPORT`` documents,
-is a span of kind ``term`` wherever it stands near that entity. In the sanitised text an entity is
-generalised to its kind, a term to ``[TERM]``, and a term that discloses all is removed.
+is a span of kind ``term`` wherever it stands, in documents without that entity too. In the
+sanitised text an entity is generalised to its kind, a term to ``[TERM]``, and a term that discloses all
+is removed.
+
+Pairs of one document are formed only where their document frequencies allow the threshold: n(e, t)
+is at most df(e), so a term past it has df(t) <= N^(1 - threshold) df(e)^threshold.
 
 Patterns start only where a run of their characters starts or the previous match ended, and repeat
 possessively. Both leave the leftmost matches as they are, and keep the search linear in the text.
@@ -27,8 +31,6 @@ from .tables import NULL_ID, doc_id, keyed, read, stage, version_of
 KINDS = ("email", "ip", "card", "phone")
 THRESHOLD = 0.9
 SUPPORT = 2
-#: Characters on each side of an entity in which its terms are looked for.
-CONTEXT = 60
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
@@ -45,6 +47,8 @@ _GUARDS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){11}",
     "phone": r"\+[0-9][\x20().0-9-]{7}",
 }
+#: Stands for an entity where the rest of its text is searched.
+_MARK = "\uE000"
 _TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 
 
@@ -104,57 +108,31 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[of_kind(rank, kind) for rank, kind in enumerate(KINDS)]))
 
 
-def _near(text: Column, span: Column) -> Column:
-    """``term, start, end`` of the whole terms within ``CONTEXT`` characters of a span."""
-    begin = F.greatest(span["start"] - CONTEXT, F.lit(0))
-    left = F.substring(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))
-    # A word that the context cuts is left out.
-    cut = F.when(begin > 0, F.length(F.regexp_extract(left, r"^[^\s]*", 0))).otherwise(0)
-    left = F.substring(left, cut + 1, F.lit(CONTEXT))
-    right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT))
-    ends = F.length(right) < CONTEXT
-    right = F.when(ends, right).otherwise(F.regexp_replace(right, r"[^\s]*$", ""))
-
-    def placed(part: Column, offset: Column) -> Column:
-        return F.transform(
-            located(part, _TERM),
-            lambda t: F.struct(
-                F.lower(t["value"]).alias("term"),
-                (t["start"] + offset).alias("start"),
-                (t["end"] + offset).alias("end"),
-            ),
-        )
-
-    return F.concat(placed(left, begin + cut), placed(right, span["end"]))
+def _words(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    found = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0))
+    return F.array_distinct(F.transform(found, lambda t: F.lower(t)))
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """``id, version, spans, near`` of every row of :func:`tables.keyed`; ``near`` holds the
-    ``entity, term, start, end`` of terms near an entity and outside of all."""
+    """``id, version, spans, entities, terms`` of every row of :func:`tables.keyed`: its distinct entities
+    and, where it holds some, its distinct terms outside of all."""
     found = docs.select("id", "version", "text", base_spans(F.col("text")).alias("spans"))
 
-    def terms(span: Column) -> Column:
+    def entity(span: Column) -> Column:
         value = F.when(span["kind"].isin("card", "phone"), F.regexp_replace(span["value"], "[^0-9]", ""))
-        entity = F.concat_ws(":", span["kind"], F.coalesce(value, F.lower(span["value"])))
-        return F.transform(
-            _near(F.col("text"), span),
-            lambda t: F.struct(
-                entity.alias("entity"),
-                t["term"].alias("term"),
-                t["start"].alias("start"),
-                t["end"].alias("end"),
-            ),
-        )
+        return F.concat_ws(":", span["kind"], F.coalesce(value, F.lower(span["value"])))
 
-    near = F.filter(
-        F.flatten(F.transform("spans", terms)),
-        lambda t: ~F.exists(
-            "spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])
-        ),
-    )
-    none = F.lit([]).cast("array<struct<entity:string,term:string,start:bigint,end:bigint>>")
+    # A word that touches an entity goes with it.
+    rest = sanitized(F.col("text"), F.col("spans"), lambda s: F.lit(_MARK))
+    rest = F.regexp_replace(rest, rf"[\p{{L}}\p{{N}}]*+{_MARK}[\p{{L}}\p{{N}}]*+", " ")
+    none = F.lit([]).cast("array<string>")
     return found.select(
-        "id", "version", "spans", F.when(F.size("spans") > 0, near).otherwise(none).alias("near")
+        "id",
+        "version",
+        "spans",
+        F.array_distinct(F.transform("spans", entity)).alias("entities"),
+        F.when(F.size("spans") > 0, _words(rest)).otherwise(none).alias("terms"),
     )
 
 
@@ -162,30 +140,39 @@ def disclosures(
     docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT
 ) -> DataFrame:
     """``entity, term, share`` of the terms that disclose ``threshold`` or more of an entity."""
-    total = F.lit(docs.count())
-    pair = F.transform("near", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term")))
-    pairs = (
-        found.filter(F.size("near") > 0)
-        .select(F.explode(F.array_distinct(pair)).alias("p"))
-        .select(F.col("p.entity").alias("entity"), F.col("p.term").alias("term"))
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("both"))
-        .filter(F.col("both") >= support)
-    )
-    entity = F.transform("near", lambda t: t["entity"])
-    entities = (
-        found.filter(F.size("near") > 0)
-        .select(F.explode(F.array_distinct(entity)).alias("entity"))
-        .groupBy("entity")
-        .agg(F.count("*").alias("df_entity"))
-    )
-    words = F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))
+    n = docs.count()
+    total = F.lit(n)
+    held = found.filter(F.size("entities") > 0)
+    own = held.select("id", "version", F.explode("entities").alias("entity"))
+    entities = own.groupBy("entity").agg(F.count("*").alias("df_entity")).filter(F.col("df_entity") >= support)
+    most = entities.agg(F.max("df_entity")).first()[0] or 0
+
+    def bound(df_entity: Column) -> Column:
+        return F.pow(total, 1 - threshold) * F.pow(df_entity, threshold) * (1 + 1e-9)
+
     terms = (
-        docs.select(F.explode(F.array_distinct(words)).alias("term"))
+        docs.select(F.explode(_words(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("df_term"))
+        .filter(F.col("df_term").between(F.lit(support), bound(F.lit(most))))
+    )
+    # Repeated rows count each: their entities with the number of rows, their terms once.
+    left = own.join(entities, "entity").groupBy("id", "version", "entity", "df_entity").agg(
+        F.count("*").alias("rows")
+    )
+    right = (
+        held.select("id", "version", F.explode("terms").alias("term"))
+        .join(terms, "term")
+        .select("id", "version", "term", "df_term")
+        .distinct()
+    )
+    joined = (
+        left.join(right, ["id", "version"])
+        .filter(F.col("df_term") <= bound(F.col("df_entity")))
+        .groupBy("entity", "term", "df_entity", "df_term")
+        .agg(F.sum("rows").alias("both"))
+        .filter(F.col("both") >= support)
     )
-    joined = pairs.join(entities, "entity").join(terms, "term")
     content = F.log2(total / F.col("df_entity"))
     mutual = F.log2(F.col("both") * total / (F.col("df_entity") * F.col("df_term")))
     share = F.when(content > 0, mutual / content)
@@ -200,6 +187,11 @@ def _text_of_spans(spans: Column) -> Column:
     )
 
 
+def _placed(text: Column, shares: Column) -> Column:
+    """``start, end, value`` of the terms of a text that are keys of ``shares``."""
+    return located(text, _TERM, lambda value: F.map_contains_key(shares, F.lower(value)))
+
+
 def spans(
     docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT
 ) -> DataFrame:
@@ -208,34 +200,55 @@ def spans(
     store = stage(docs.sparkSession)
     found = store.table(detect(docs), "found")
     known = store.table(disclosures(docs, found, threshold, support), "disclosures")
-    term = F.struct(
-        F.col("t.start").alias("start"),
-        F.lit(len(KINDS)).alias("rank"),
-        F.col("t.end").alias("end"),
-        F.lit("term").alias("kind"),
-        F.col("share").cast("string").alias("value"),
+    # A term that discloses several entities has the largest share.
+    known = known.groupBy("term").agg(F.max("share").alias("share"))
+    holding = (
+        docs.select("id", "version", F.explode(_words(F.col("text"))).alias("term"))
+        .join(known, "term")
+        .groupBy("id", "version")
+        .agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("shares"))
     )
-    # A term near several entities is one span, with the largest share.
     terms = (
-        found.filter(F.size("near") > 0)
-        .select("id", "version", F.explode("near").alias("t"))
-        .select("id", "version", "t", F.col("t.entity").alias("entity"), F.col("t.term").alias("term"))
-        .join(known, ["entity", "term"])
-        .groupBy("id", "version", "t.start", "t.end")
-        .agg(F.max("share").alias("share"))
-        .withColumn("t", F.struct("start", "end"))
-        .groupBy("id", "version")
-        .agg(F.array_sort(F.collect_set(term)).alias("terms"))
+        docs.join(holding, ["id", "version"])
+        .select("id", "version", "shares", _placed(F.col("text"), F.col("shares")).alias("placed"))
+        .dropDuplicates(["id", "version"])
+    )
+    terms = terms.select(
+        "id",
+        "version",
+        F.transform(
+            "placed",
+            lambda t: F.struct(
+                t["start"].alias("start"),
+                F.lit(len(KINDS)).alias("rank"),
+                t["end"].alias("end"),
+                F.lit("term").alias("kind"),
+                F.col("shares")[F.lower(t["value"])].cast("string").alias("value"),
+            ),
+        ).alias("placed"),
+    )
+    outside = F.filter(
+        "placed",
+        lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])),
     )
     every = F.array_sort(
-        F.concat("spans", F.coalesce("terms", F.lit([]).cast(f"array<{_SPAN}>")))
+        F.concat("spans", F.coalesce(outside, F.lit([]).cast(f"array<{_SPAN}>")))
     )
     return found.join(terms, ["id", "version"], "left").select(
         "id", "version", "spans", every.alias("all_spans")
     )
 
 
-def sanitized(text: Column, spans: Column) -> Column:
+def _label(span: Column) -> Column:
+    value = span["value"].cast("double")
+    return (
+        F.when(span["kind"] != "term", F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+        .when(value >= 1 - 1e-9, "")
+        .otherwise("[TERM]")
+    )
+
+
+def sanitized(text: Column, spans: Column, label=_label) -> Column:
     """The text with its spans generalised or removed; overlapping spans are one."""
     block = 4096
     blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{block}}}"), F.lit(0))
@@ -247,14 +260,6 @@ def sanitized(text: Column, spans: Column) -> Column:
         own = F.substring(joined, (a - first * block + 1).cast("int"), (b - a).cast("int"))
         return F.when(b > a, own).otherwise("")
 
-    def label(s: Column) -> Column:
-        value = s["value"].cast("double")
-        return (
-            F.when(s["kind"] != "term", F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-            .when(value >= 1 - 1e-9, "")
-            .otherwise("[TERM]")
-        )
-
     def step(state: Column, s: Column) -> Column:
         kept = part(state["at"], s["start"], state["blocks"])
         added = F.when(s["start"] >= state["at"], F.array(kept, label(s))).otherwise(

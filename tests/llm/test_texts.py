@@ -380,3 +380,25 @@ def test_features_are_those_of_each_text(texts):
         _, alone = toxicity.features(np.frombuffer(own, np.uint8), np.array([0, len(own)]))
         assert feature[row == i].tolist() == alone.tolist()
     assert runs.PIECE > 0
+
+
+def test_disclosing_terms_go_wherever_they_stand(documents):
+    filler = "plain words of no note at all "
+    rows = [(i, filler * 3) for i in range(200)]
+    rows += [(200 + i, f"Quillfeather {filler * 4} wrote bob@x.org {filler}") for i in range(5)]
+    rows += [(300, f"{filler} QUILLFEATHER alone"), (301, f"{filler} QUILLFEATHER alone")]
+    rows += [(400, f"{filler * 5} Quillfeather, {filler}")] * 2
+    docs = documents(rows)
+    share = {(r.entity, r.term): r.share for r in pii.disclosures(keyed(docs), pii.detect(keyed(docs))).collect()}
+    n, df, entity = len(rows), 9, 5
+    expected = math.log2(5 * n / (entity * df)) / math.log2(n / entity)
+    assert expected < pii.THRESHOLD and ("email:bob@x.org", "quillfeather") not in share
+    rows = [r for r in rows if r[0] not in (301, 400)] + [(400, f"{filler * 5} Quillfeather, {filler}")]
+    rows += [(500 + i, filler) for i in range(5000)]
+    docs = documents(rows)
+    share = {(r.entity, r.term): r.share for r in pii.disclosures(keyed(docs), pii.detect(keyed(docs))).collect()}
+    expected = math.log2(5 * len(rows) / (entity * 7)) / math.log2(len(rows) / entity)
+    assert share[("email:bob@x.org", "quillfeather")] == pytest.approx(expected) and expected >= pii.THRESHOLD
+    clean = {r.doc_id: r.text for r in pii.sanitize(docs).collect()}
+    assert not any("quillfeather" in t.lower() for t in clean.values())
+    assert clean[300] == f"{filler} [TERM] alone" and clean[400] == f"{filler * 5} [TERM], {filler}"
