@@ -6,16 +6,18 @@ benchmark are counted in diagonal bands of width 2e that overlap by e, so some b
 bands that reach the bound are retained, and banded alignment of the passage against the text along the
 band verifies them, with both ends of the text free.
 
-Benchmark items are cut into overlapping segments of ``SEGMENT`` bytes (shorter items are one), so
-a document that holds a part of an item is found too. Both sides are compared in lower case
+Benchmark items are cut into overlapping segments of ``SEGMENT`` bytes (shorter items are one) and of
+``PART`` bytes every ``PART_STRIDE``. Any verbatim part of ``FOUND`` bytes or more holds one of the latter
+whole, wherever it starts, so a document that holds it is found. Items under ``SHORTEST`` bytes are
+found where they stand exactly, not inside a longer ASCII word. Both sides are compared in lower case
 (ASCII) with white space collapsed, as UTF-8 bytes.
 
 The benchmark is the stated query set. It is sent to the tasks in blocks of at most ``BLOCK_BYTES``
 (a larger single item makes a block of its own); a benchmark of many blocks takes as many passes
 over the documents. Documents are never shuffled.
 
-Defined cases: null and empty texts hold nothing; null and empty items, and items shorter than
-``SHORTEST`` bytes, match nothing; repeated items count once; repeated rows each get their matches;
+Defined cases: null and empty texts hold nothing; null and empty items match
+nothing; repeated items count once; repeated rows each get their matches;
 empty tables give an empty result. Columns other than ``doc_id, text`` and ``item_id, text`` are not
 used.
 """
@@ -34,6 +36,10 @@ from .tables import NULL_ID, doc_id, read, text_of
 SEGMENT = 100
 STRIDE = 50
 SHORTEST = 40
+PART = 60
+PART_STRIDE = 10
+#: Bytes of the shortest verbatim part of a longer item that is found wherever it starts.
+FOUND = PART + PART_STRIDE - 1
 Q = 12
 #: Edits allowed in a segment, as a share of its length.
 RATE = 0.06
@@ -50,9 +56,17 @@ def segments(text: bytes) -> list[tuple[int, bytes]]:
     """(start, bytes) of the segments of a normal item text."""
     if len(text) < SHORTEST:
         return []
-    last = max(0, len(text) - SEGMENT)
-    starts = sorted({*range(0, last + 1, STRIDE), last})
-    return [(s, text[s : s + SEGMENT]) for s in starts]
+    places = set()
+    for size, stride in ((SEGMENT, STRIDE), (PART, PART_STRIDE)):
+        last = max(0, len(text) - size)
+        places |= {(s, min(size, len(text) - s)) for s in (*range(0, last + 1, stride), last)}
+    return [(s, text[s : s + size]) for s, size in sorted(places)]
+
+
+def _in_word(text: bytes, at: int) -> bool:
+    """Whether an ASCII word goes on across a place of the text."""
+    pair = text[at - 1 : at + 1] if at else b""
+    return len(pair) == 2 and pair.isalnum()
 
 
 class Index:
@@ -79,6 +93,12 @@ class Index:
         self.hash = self.hash[order]
         self.owner = np.concatenate(owner)[order] if found else np.zeros(0, np.int64)
         self.offset = np.concatenate(offset)[order] if found else np.zeros(0, np.int64)
+        self.short: dict[int, dict[bytes, list[int]]] = {}
+        for item, text in items:
+            if 0 < len(text) < SHORTEST:
+                self.short.setdefault(len(text), {}).setdefault(text, []).append(item)
+        gram = lambda text: R.byte_grams(np.frombuffer(text, np.uint8), len(text))[0]
+        self.short_hash = {n: np.array([gram(t) for t in own]) for n, own in self.short.items()}
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[self.hash >> np.uint64(64 - _FILTER_BITS)] = True
 
@@ -91,6 +111,20 @@ class Index:
         x = R.spread(low, count)
         return np.repeat(at, count), self.owner[x], self.offset[x]
 
+    def exact(self, text: bytes) -> dict[int, int]:
+        """Item and end of the first match of the items under ``SHORTEST`` bytes."""
+        found: dict[int, int] = {}
+        data = np.frombuffer(text, np.uint8)
+        for n, items in self.short.items():
+            for start in range(0, len(data) - n + 1, _STEP):
+                grams = R.byte_grams(data[start : start + _STEP + n - 1], n)
+                for at in np.flatnonzero(np.isin(grams, self.short_hash[n])) + start:
+                    own = items.get(text[at : at + n], [])
+                    if own and not _in_word(text, int(at)) and not _in_word(text, int(at) + n):
+                        for item in own:
+                            found.setdefault(item, int(at) + n)
+        return found
+
     def bands(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(segment, band) with enough shared q-grams. Band b holds diagonals b*e .. b*e + 2e."""
         position, segment, offset = self.hits(text)
@@ -152,10 +186,13 @@ def matches_in(index: Index, text: bytes) -> list[tuple[int, int, int, int]]:
         for s, k, end in zip(segment, edits, ends):
             if k <= index.edits[s]:
                 found.setdefault(int(index.item[s]), []).append((int(s), int(k), at + int(end)))
-    return [
+    rows = [
         (item, len({s for s, _, _ in rows}), min(k for _, k, _ in rows), min(e for *_, e in rows))
-        for item, rows in sorted(found.items())
+        for item, rows in found.items()
     ]
+    # A null id may stand for several items, short ones among them.
+    short = {item: end for item, end in index.exact(data.tobytes()).items() if item not in found}
+    return sorted(rows + [(item, 1, 0, end) for item, end in short.items()])
 
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[int, bytes]]]:

@@ -402,3 +402,18 @@ def test_disclosing_terms_go_wherever_they_stand(documents):
     clean = {r.doc_id: r.text for r in pii.sanitize(docs).collect()}
     assert not any("quillfeather" in t.lower() for t in clean.values())
     assert clean[300] == f"{filler} [TERM] alone" and clean[400] == f"{filler * 5} [TERM], {filler}"
+
+
+def test_decontamination_finds_parts_wherever_they_start():
+    rng = np.random.default_rng(6)
+    make = lambda n: "".join(rng.choice(list("abcdefghij "), n)).replace("  ", " a").encode()
+    item, other = decontaminate.normal(make(420)), decontaminate.normal(make(90))
+    index = decontaminate.Index([(1, item), (2, other), (3, b"zq forty two"), (4, b"zq"), (5, b"")])
+    found = lambda text: {m[0] for m in decontaminate.matches_in(index, text)}
+    for whole, k in ((item, 1), (other, 2)):
+        for size in (decontaminate.FOUND, 80, 93, 110, 130):
+            for at in range(len(whole) - size + 1):
+                assert k in found(b"#" * 31 + whole[at : at + size] + b"#" * 17), (size, at)
+    assert found(b"so ZQ\nforty two.") == {3, 4} and found(b"zq") == {4}
+    assert found(b"zqs azq zq1") == set() and found(b"zqs zq") == {4}
+    assert found(b"") == set() and found(make(300)) == set()
