@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from . import divergence, filter_audit
 from .decontaminate import op3_decontaminate
+from .divergence import op12_source_divergence
+from .filter_audit import op13_filter_audit
 from .outliers import op9_outliers
 from .packing import op4_packing
 from .pii import op2_pii
 from .sharding import op7_sharding
 from .simhash import op6_simhash
 from .suffix_dedup import op1_suffix_dedup
+from .token_counts import op11_token_counts
 from .toxicity import op10_toxicity
 from .warc import op8_warc
 from .window_dedup import op5_window_dedup
@@ -24,5 +28,11 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_outliers": op9_outliers,
     "op10_toxicity": op10_toxicity,
+    "op11_token_counts": op11_token_counts,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_filter_audit": op13_filter_audit,
+}
+ORACLES = {
+    "op12_source_divergence": divergence.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
-ORACLES: dict[str, str] = {}

@@ -48,8 +48,8 @@ def version_of(docs: DataFrame) -> Column:
     return F.xxhash64(text_of(docs)) if repeats_ids(docs) else F.lit(0).cast("long")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``id, version, text`` of every row.
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """``id, version, text`` of every row, and ``more`` of its columns.
 
     Rows that share a ``doc_id`` (null ids among them) are versions of one document, told
     apart by a hash of their text; with unique ids, the usual case, ``version`` is 0. Repeated
@@ -59,6 +59,7 @@ def keyed(docs: DataFrame) -> DataFrame:
         F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("id"),
         version_of(docs).alias("version"),
         text_of(docs).alias("text"),
+        *more,
     )
 
 
