@@ -36,6 +36,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
             sub.add_argument("--candidates", type=int, help="parameter sets to try")
             sub.add_argument("--folds", type=int, default=presets.FOLDS)
             sub.add_argument("--parallelism", type=int, default=2, help="fits at a time")
+            sub.add_argument("--scores", help="folder of scores, from which a stopped search goes on")
         if name == "stream":
             limit = sub.add_mutually_exclusive_group()
             limit.add_argument("--max-files", type=int, help="files of a batch")
@@ -68,7 +69,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         paths = f"{args.out}/model", f"{args.out}/result"
         with Stage(spark) as stage:
             trained = jobs.train(
-                source, stage, space, count, *paths, args.folds, args.parallelism
+                source, stage, space, count, *paths, args.folds, args.parallelism, args.scores
             )
             trained.record.select("algorithm", "r2", "mae", "mape", "vs_baseline").show(
                 truncate=False
@@ -83,7 +84,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         paths = f"{args.out}/model", f"{args.out}/result"
         with Stage(spark) as stage:
             trained = jobs.train_baseline(
-                source, stage, space, count, *paths, args.folds, args.parallelism
+                source, stage, space, count, *paths, args.folds, args.parallelism, args.scores
             )
             trained.metrics.show()
     elif args.job == "compare":

@@ -58,6 +58,7 @@ def build_facts(star: StarSchema, stage: Stage) -> DataFrame:
     The dimensions are written first (see :mod:`pricewright.stage`), then the items pass
     through three joins, one per key, instead of one join per source table.
     """
+    stage = stage.sub("facts")
     orders = stage.table(order_dimension(star), "order_dimension")
     scores = orders.filter("reviewed = 1").select("order_id", "review_score")
     pairs = stage.table(activity(star.items, scores), "activity")
@@ -72,6 +73,7 @@ def build_facts(star: StarSchema, stage: Stage) -> DataFrame:
 
 def build_core_facts(star: StarSchema, stage: Stage) -> DataFrame:
     """Items with product, demand and purchase time only: the four core tables."""
+    stage = stage.sub("core_facts")
     pairs = stage.table(activity(star.items), "activity")
     products = stage.table(product_dimension(star, pairs, reviews=False), "product_dimension")
     sellers = stage.table(seller_dimension(star, pairs, reviews=False), "seller_dimension")

@@ -26,6 +26,7 @@ def prepare(star: StarSchema, stage: Stage) -> DataFrame:
     The wide join runs once and is written; medians, price bounds and encodings are then
     narrow column scans of that table. Each one-row statistic is written before its use.
     """
+    stage = stage.sub("prepare")
     wide = stage.table(facts.build_facts(star, stage), "facts")
     medians = stage.table(clean.imputation_medians(clean.priced(wide)), "medians")
     engineered = clean.engineer(wide, medians)
@@ -37,6 +38,7 @@ def prepare(star: StarSchema, stage: Stage) -> DataFrame:
 
 def prepare_baseline(star: StarSchema, stage: Stage, trim: bool = True) -> DataFrame:
     """Training table of the older model (``trim``) or of the algorithm comparison."""
+    stage = stage.sub("prepare_baseline")
     wide = stage.table(facts.build_core_facts(star, stage), "core_facts")
     means = stage.table(clean.full_category_means(wide), "category_means")
     engineered = clean.engineer_baseline(wide, means)
@@ -65,10 +67,12 @@ def train(
     result_path: str | None = None,
     folds: int = presets.FOLDS,
     parallelism: int = 2,
+    scores_path: str | None = None,
 ) -> Trained:
     """Current model: prepare, search, evaluate, and write model and result when asked."""
+    stage = stage.sub("train")
     rows = stage.table(prepare(star, stage), "training_rows")
-    search = training.tune(rows, CURRENT, space, candidates, folds, parallelism)
+    search = training.tune(rows, CURRENT, space, candidates, folds, parallelism, scores_path)
     return _finish(rows, search, CURRENT, stage, model_path, result_path)
 
 
@@ -81,10 +85,12 @@ def train_baseline(
     result_path: str | None = None,
     folds: int = presets.FOLDS,
     parallelism: int = 2,
+    scores_path: str | None = None,
 ) -> Trained:
     """Older model, trimmed prices and 20 features."""
+    stage = stage.sub("train_baseline")
     rows = stage.table(prepare_baseline(star, stage), "training_rows")
-    search = training.tune(rows, BASELINE, space, candidates, folds, parallelism)
+    search = training.tune(rows, BASELINE, space, candidates, folds, parallelism, scores_path)
     return _finish(rows, search, BASELINE, stage, model_path, result_path)
 
 
@@ -128,6 +134,7 @@ def categories(
     star: StarSchema, stage: Stage, seed_path: str | None = None, table_path: str | None = None
 ) -> DataFrame:
     """Category statistics, written as an SQL seed and into a table when asked."""
+    stage = stage.sub("categories")
     stats = stage.table(category.category_stats(star, stage), "category_stats")
     if seed_path:
         sinks.write_seed(stats, seed_path)

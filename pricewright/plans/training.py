@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import random
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -15,7 +13,6 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.features import price_of
@@ -23,6 +20,7 @@ from ..operators.encode import fold, test_rows, train_rows
 from ..operators.evaluate import regression_metrics
 from ..stage import shared_dir
 from . import presets
+from .search import run_name, sample_candidates, search
 
 
 @dataclass(frozen=True)
@@ -112,29 +110,15 @@ def evaluate(rows: DataFrame, model: PipelineModel) -> DataFrame:
     return regression_metrics(scored, "actual_price", "predicted_price")
 
 
-def sample_candidates(
-    space: dict[str, list[float]], n: int, seed: int = presets.SEED
-) -> list[dict[str, float]]:
-    """``n`` different parameter combinations, the same for the same seed."""
-    size = 1
-    for choices in space.values():
-        size *= len(choices)
-    drawn = []
-    for position in random.Random(seed).sample(range(size), min(n, size)):
-        combination = {}
-        for name, choices in space.items():
-            position, pick = divmod(position, len(choices))
-            combination[name] = choices[pick]
-        drawn.append(combination)
-    return drawn
-
-
 @dataclass(frozen=True)
 class Tuned:
     model: PipelineModel
     best_params: dict[str, float]
     candidates: list[dict[str, float]]
     scores: list[float]
+    #: Boosted chains fitted for the scores, and those whose scores were already written.
+    fitted: int = 0
+    reused: int = 0
 
     def summary(self, spark) -> DataFrame:
         """One row per candidate: parameters, mean fold R² on the log scale, and the winner."""
@@ -154,12 +138,16 @@ def tune(
     candidates: int = presets.SEARCH_CANDIDATES,
     folds: int = presets.FOLDS,
     parallelism: int = 2,
+    scores_path: str | None = None,
 ) -> Tuned:
     """Seeded random search with cross-validation, best candidate refitted on all of train.
 
     Features are assembled once, before the folds, not once per candidate and fold. A level
     that one fold does not contain is a constant column there, which no tree can split on;
     only the columns a column sample may draw differ from an encoder fitted per fold.
+
+    With ``scores_path`` every score is written there as soon as it is known, and a search that
+    was stopped goes on; see :mod:`pricewright.plans.search`.
     """
     spark = rows.sparkSession
     shared_dir(spark)
@@ -171,25 +159,20 @@ def tune(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     drawn = sample_candidates(space, candidates)
-    learner = estimator("gbt")
-    grid = [
-        {learner.getParam(k): v for k, v in boosting_params(values).items()} for values in drawn
-    ]
+    used = [*features.numeric, *features.categorical]
+    run = run_name(train.select("item_key", "label", *used), folds) if scores_path else ""
     try:
-        search = CrossValidator(
-            estimator=learner,
-            estimatorParamMaps=grid,
-            evaluator=RegressionEvaluator(labelCol="label", metricName="r2"),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        ).fit(assembled)
+        found = search(
+            assembled, drawn, folds, lambda c: estimator("gbt", **c), parallelism, scores_path, run
+        )
+        best = estimator("gbt", **drawn[found.best]).fit(assembled)
     finally:
         assembled.unpersist()
-    best = max(range(len(drawn)), key=lambda i: search.avgMetrics[i])
     return Tuned(
-        model=PipelineModel(stages=[*encoder.stages, search.bestModel]),
-        best_params=drawn[best],
+        model=PipelineModel(stages=[*encoder.stages, best]),
+        best_params=drawn[found.best],
         candidates=drawn,
-        scores=list(search.avgMetrics),
+        scores=found.scores,
+        fitted=found.fitted,
+        reused=found.reused,
     )

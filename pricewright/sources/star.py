@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
+from .records import read_records
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ def read_csv_table(spark: SparkSession, table: str, path: str, mode: str = "FAIL
 
     Blanks become null. A value that does not parse raises, or becomes null with
     ``mode="PERMISSIVE"``. Types are declared, never inferred: the only extra read is the
-    header line. Review texts contain line breaks, so that table is read record by record.
+    header line. Review texts contain line breaks; see :mod:`pricewright.sources.records`.
     """
     # Each file's header is held against the schema, so a folder of files that order their
     # columns differently is an error, not a mix-up.
@@ -57,11 +58,11 @@ def read_csv_table(spark: SparkSession, table: str, path: str, mode: str = "FAIL
         "escape": '"',
         "enforceSchema": "false",
     }
-    if table == "reviews":
-        options["multiLine"] = "true"
     header = spark.read.options(**options).csv(path).columns
     schema = _typed(table, header)
     used = [n for n in schemas.TABLES[table].names if n in header]
+    if table == "reviews":
+        return read_records(spark, path, schema, mode).select(*used)
     return spark.read.schema(schema).options(**options).csv(path).select(*used)
 
 
@@ -115,10 +116,7 @@ def read_quarantined(
 
 
 def to_parquet(spark: SparkSession, folder: str, out: str, tables=tuple(schemas.TABLES)) -> None:
-    """Convert published CSV files to ``<table>.parquet``, once, for jobs that read them often.
-
-    Review texts hold line breaks, so that CSV file is read by one task; the Parquet copy is not.
-    """
+    """Convert published CSV files to ``<table>.parquet``, once, for jobs that read them often."""
     for table, df in read_star(spark, folder, tables).tables().items():
         df.write.mode("error").parquet(f"{out}/{table}.parquet")
 

@@ -50,6 +50,11 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def sub(self, name: str) -> Stage:
+        """A folder of its own below this one, so that jobs which share a stage, or one job run
+        twice, never write the same table. It goes with this stage."""
+        return Stage(self.spark, f"{self.root}/{name}-{uuid.uuid4().hex[:12]}")
+
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a reader over the written files."""
         df.write.mode("error").parquet(self.path(name))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pricewright import schemas
 from pricewright.operators import encode, evaluate, score
-from pricewright.plans import jobs, presets, training
+from pricewright.plans import jobs, presets, search, training
 from pricewright.sources import sinks
 from pricewright.sources.sample import sample_requests
 from pricewright.streaming.scoring import read_request_table, read_requests, score_stream
@@ -63,11 +63,11 @@ def test_unseen_level_is_a_zero_block(spark):
 
 
 def test_search_candidates():
-    drawn = training.sample_candidates(presets.SEARCH_SPACE, 25)
-    assert drawn == training.sample_candidates(presets.SEARCH_SPACE, 25)
+    drawn = search.sample_candidates(presets.SEARCH_SPACE, 25)
+    assert drawn == search.sample_candidates(presets.SEARCH_SPACE, 25)
     assert len({tuple(d.items()) for d in drawn}) == 25
     assert all(d[k] in presets.SEARCH_SPACE[k] for d in drawn for k in d)
-    assert len(training.sample_candidates({"a": [1, 2], "b": [1, 2]}, 99)) == 4
+    assert len(search.sample_candidates({"a": [1, 2], "b": [1, 2]}, 99)) == 4
     assert training.boosting_params({"colsample_bytree": 1.0, "gamma": 0}) == {
         "featureSubsetStrategy": "all", "minInfoGain": 0.0,
     }
