@@ -68,13 +68,15 @@ def documents_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def id_tables(rows: DataFrame, store: Stage) -> DataFrame:
     """All id tables, stored one by one, as ``key, n, good, toxic, bit``."""
-    # Only texts that occur under several ids; one row a text, however many copies it has.
+    # Only texts that occur under several ids; one row a text, however many copies it has. Written, so
+    # that the join below is a broadcast of known size, or plain shuffles that split a hot text.
     repeated = (
         rows.groupBy("digest")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"))
         .filter("least < most")
         .select(F.col("digest").alias("copied"), "least")
     )
+    repeated = store.table(repeated, "repeated")
     later = (F.col("digest") == F.col("copied")) & (F.col("id") > F.col("least"))
     tables = None
     for name, bit in BITS.items():
