@@ -12,9 +12,15 @@ from pricewright.operators import category
 from pricewright.operators.score import score
 from pricewright.plans import jobs, presets
 from pricewright.sources import sinks
-from pricewright.sources.star import read_star, scan_counts, to_parquet
+from pricewright.sources.layout import read_layout, write_layout
+from pricewright.sources.star import read_star, to_parquet
 from pricewright.stage import Stage
-from pricewright.streaming.scoring import read_request_table, read_requests, score_stream
+from pricewright.streaming.scoring import (
+    read_request_table,
+    read_requests,
+    score_into_sinks,
+    score_stream,
+)
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -26,7 +32,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         for option in options:
             sub.add_argument(f"--{option}", required=True)
         if "data" in options:
-            sub.add_argument("--format", choices=["csv", "parquet"], default="csv")
+            sub.add_argument("--format", choices=["csv", "parquet", "layout"], default="csv")
         if "requests" in options:
             sub.add_argument("--format", choices=["json", "parquet"], default="json")
             sub.add_argument("--keep", nargs="*", default=[], help="id columns to pass through")
@@ -42,6 +48,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
             limit.add_argument("--max-files", type=int, help="files of a batch")
             limit.add_argument("--max-bytes", help="bytes of a batch, such as 1g")
             sub.add_argument("--once", action="store_true", help="stop when the folder is drained")
+            sub.add_argument("--rejects", help="folder of its own for rejected requests")
+        if name == "convert":
+            sub.add_argument("--buckets", type=int, help="lay tables out by order, in so many files")
 
     add("train", "search, evaluate and save the current model", "data", "out")
     add("baseline", "search, evaluate and save the older model", "data", "out")
@@ -59,11 +68,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"pricewright {args.job}").getOrCreate()
 
     def star(*tables: str):
-        return read_star(spark, args.data, tables or tuple(schemas.TABLES), args.format)
+        names = tables or tuple(schemas.TABLES)
+        if args.format == "layout":
+            return read_layout(spark, args.data, names)
+        return read_star(spark, args.data, names, args.format)
 
     if args.job == "train":
         source = star()
-        scan_counts(source).show()
         space = presets.QUICK_SPACE if args.quick else presets.SEARCH_SPACE
         count = args.candidates or (2 if args.quick else presets.SEARCH_CANDIDATES)
         paths = f"{args.out}/model", f"{args.out}/result"
@@ -74,6 +85,8 @@ def main(argv: Sequence[str] | None = None) -> None:
             trained.record.select("algorithm", "r2", "mae", "mape", "vs_baseline").show(
                 truncate=False
             )
+        counts = list(trained.counts.items())
+        spark.createDataFrame(counts, "table_name string, row_count long").show()
         trained.search.summary(spark).show(truncate=False)
     elif args.job == "baseline":
         space = dict(presets.BASELINE_SEARCH_SPACE)
@@ -106,22 +119,22 @@ def main(argv: Sequence[str] | None = None) -> None:
             category.top_categories(stats).show(truncate=False)
             category.bottom_categories(stats).show(truncate=False)
             category.category_ranges(stats).show()
+    elif args.job == "convert" and args.buckets:
+        write_layout(star(), args.out, args.buckets)
     elif args.job == "convert":
         to_parquet(spark, args.data, args.out)
     elif args.job == "score":
         requests = read_request_table(spark, args.requests, args.format, args.keep)
         score(requests, sinks.load_model(args.model), tuple(args.keep)).write.parquet(args.out)
     elif args.job == "stream":
-        score_stream(
-            read_requests(
-                spark, args.requests, args.format, args.keep, args.max_files, args.max_bytes
-            ),
-            sinks.load_model(args.model),
-            args.out,
-            args.checkpoint,
-            tuple(args.keep),
-            trigger=None if args.once else {"processingTime": "10 seconds"},
-        ).awaitTermination()
+        requests = read_requests(
+            spark, args.requests, args.format, args.keep, args.max_files, args.max_bytes
+        )
+        model, keep = sinks.load_model(args.model), tuple(args.keep)
+        trigger = None if args.once else {"processingTime": "10 seconds"}
+        paths = [args.out, *([args.rejects] if args.rejects else []), args.checkpoint]
+        start = score_into_sinks if args.rejects else score_stream
+        start(requests, model, *paths, keep, trigger).awaitTermination()
 
 
 if __name__ == "__main__":

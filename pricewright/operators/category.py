@@ -8,6 +8,7 @@ from ..functions.numeric import round_half_even, whole_half_even
 from ..sources.star import StarSchema
 from ..stage import Stage
 from .facts import product_attributes
+from .keys import KeyChecks
 from .reviews import order_mean_review
 
 # Every category carries the same payment type; default installments by the
@@ -17,6 +18,7 @@ INSTALLMENT_TIERS = [(50, 1), (100, 3), (200, 6)]
 INSTALLMENT_REST = 12
 
 REPORT = ["category", "avg_price", "avg_review", "median_sales_count", "default_max_installments"]
+# Columns and insert text of the SQL seed.
 SEED_COLUMNS = [
     "category",
     "avg_price",
@@ -27,23 +29,25 @@ SEED_COLUMNS = [
 ]
 
 
-def product_categories(star: StarSchema) -> DataFrame:
+def product_categories(star: StarSchema, keys: KeyChecks | None = None) -> DataFrame:
     """English category of every product that has one."""
     return (
-        product_attributes(star)
+        product_attributes(star, keys)
         .select("product_id", F.col("product_category_name_english").alias("category"))
         .filter(F.col("category").isNotNull())
     )
 
 
-def category_order_totals(star: StarSchema) -> DataFrame:
+def category_order_totals(star: StarSchema, categories: DataFrame | None = None) -> DataFrame:
     """Sold items and price totals per category and order.
 
+    ``categories`` is the result of :func:`product_categories`, where it is written already.
+
     Collapsing to this grain first means the later join on the order id sees at most one
     row per category for any order, however many items that order has.
     """
     return (
-        star.items.join(product_categories(star), "product_id")
+        star.items.join(product_categories(star) if categories is None else categories, "product_id")
         .groupBy("category", "order_id")
         .agg(
             F.count(F.lit(1)).alias("item_rows"),
@@ -53,13 +57,15 @@ def category_order_totals(star: StarSchema) -> DataFrame:
     )
 
 
-def category_prices_and_reviews(star: StarSchema) -> DataFrame:
+def category_prices_and_reviews(
+    star: StarSchema, categories: DataFrame | None = None
+) -> DataFrame:
     """Average price, and average review weighted by sold items, of each category."""
     rows, score = F.col("item_rows"), F.col("review_score")
     review_sum = F.sum(rows * score)
     review_rows = F.sum(F.when(score.isNotNull(), rows))
     return (
-        category_order_totals(star)
+        category_order_totals(star, categories)
         .join(order_mean_review(star.reviews), "order_id", "left")
         .groupBy("category")
         .agg(
@@ -71,7 +77,7 @@ def category_prices_and_reviews(star: StarSchema) -> DataFrame:
     )
 
 
-def category_median_sales(star: StarSchema) -> DataFrame:
+def category_median_sales(star: StarSchema, categories: DataFrame | None = None) -> DataFrame:
     """Median of the sales counts of a category's products, rounded half to even.
 
     Counts of products with equal sales are combined first. A category with k different
@@ -82,7 +88,7 @@ def category_median_sales(star: StarSchema) -> DataFrame:
         star.items.filter(F.col("product_id").isNotNull())
         .groupBy("product_id")
         .agg(F.count("order_id").alias("sales_count"))
-        .join(product_categories(star), "product_id")
+        .join(product_categories(star) if categories is None else categories, "product_id")
         .groupBy("category", "sales_count")
         .agg(F.count(F.lit(1)).alias("products"))
         .groupBy("category")
@@ -109,8 +115,11 @@ def fill_avg_review(stats: DataFrame) -> DataFrame:
 
 def category_stats(star: StarSchema, stage: Stage) -> DataFrame:
     """The category table, sorted by category."""
-    aligned = category_prices_and_reviews(star).join(
-        category_median_sales(star), "category", "full"
+    stage, keys = stage.sub("category_stats"), KeyChecks()
+    categories = stage.table(product_categories(star, keys), "product_categories")
+    keys.verify()
+    aligned = category_prices_and_reviews(star, categories).join(
+        category_median_sales(star, categories), "category", "full"
     )
     # Written before the fill, which reads the finished averages a second time.
     return (

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import schemas
 from ..functions.features import with_calendar_features, with_physical_features
 from ..functions.quantiles import exact_quantiles
 
+Quantiles = Callable[[DataFrame, dict[str, tuple[str, float]]], DataFrame]
 IMPUTED = ["product_avg_review", "seller_avg_review", "max_installments"]
 # Columns that are missing only when another numeric feature is.
 IMPLIED = {"density", "shipping_ratio", "complexity_score", "is_weekend", "is_peak_season"}
@@ -19,9 +22,9 @@ def priced(facts: DataFrame) -> DataFrame:
     return facts.filter(F.col("price").isNotNull())
 
 
-def imputation_medians(facts: DataFrame) -> DataFrame:
-    """Medians over all item rows, as one row."""
-    return exact_quantiles(facts, {name: (name, 0.5) for name in IMPUTED})
+def imputation_medians(facts: DataFrame, quantiles: Quantiles = exact_quantiles) -> DataFrame:
+    """Medians over all item rows, as one row. ``sketches.sketched_quantiles`` has a bounded error."""
+    return quantiles(facts, {name: (name, 0.5) for name in IMPUTED})
 
 
 def impute_medians(facts: DataFrame, medians: DataFrame | None = None) -> DataFrame:
@@ -39,9 +42,9 @@ def fill_unknown(df: DataFrame, columns: list[str] = schemas.CATEGORICAL) -> Dat
     )
 
 
-def outlier_bounds(df: DataFrame) -> DataFrame:
+def outlier_bounds(df: DataFrame, quantiles: Quantiles = exact_quantiles) -> DataFrame:
     """The 1 % and 99 % price quantiles, as one row ``low, high``."""
-    return exact_quantiles(df, OUTLIER_BOUNDS)
+    return quantiles(df, OUTLIER_BOUNDS)
 
 
 def trim_outliers(df: DataFrame, bounds: DataFrame | None = None) -> DataFrame:

@@ -106,6 +106,7 @@ class TargetEncodings:
 def fit_encodings(df: DataFrame, stage: Stage) -> TargetEncodings:
     """Category and seller averages of the training rows, written so that their size is
     known where they are joined."""
+    stage = stage.sub("encodings")
     totals = stage.table(train_price_totals(df), "train_price_totals")
     category = train_price_means(totals, "product_category_name_english", "category_avg_price")
     seller = train_price_means(totals, "seller_id", "seller_avg_price")

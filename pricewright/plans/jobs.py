@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..operators import category, clean, encode, evaluate, facts
+from ..operators.keys import SourceCounts
 from ..sources import sinks
 from ..sources.star import StarSchema
 from ..stage import Stage
@@ -50,12 +51,30 @@ def prepare_baseline(star: StarSchema, stage: Stage, trim: bool = True) -> DataF
     return rows.select("item_key", "split", "price", "label", *schemas.BASELINE_FEATURES)
 
 
+def prepare_counted(star: StarSchema, stage: Stage) -> tuple[DataFrame, dict[str, int]]:
+    """The written training table of the current model, with the row count of every source table
+    and of ``training_rows``, all taken from the jobs that write it."""
+    stage, counts = stage.sub("counted"), SourceCounts()
+    rows, written = stage.counted(prepare(counts.watch(star), stage), "training_rows")
+    return rows, {**counts.rows(), "training_rows": written}
+
+
+def prepare_baseline_counted(star: StarSchema, stage: Stage) -> tuple[DataFrame, dict[str, int]]:
+    """As :func:`prepare_counted`, of the older model, which reads the four core tables."""
+    stage, counts = stage.sub("counted"), SourceCounts()
+    watched = counts.watch(star, schemas.CORE_TABLES)
+    rows, written = stage.counted(prepare_baseline(watched, stage), "training_rows")
+    return rows, {**counts.rows(), "training_rows": written}
+
+
 @dataclass(frozen=True)
 class Trained:
     model: PipelineModel
     metrics: DataFrame
     record: DataFrame
     search: training.Tuned
+    #: Row count of every source table that was read, and of the training table.
+    counts: dict[str, int]
 
 
 def train(
@@ -71,9 +90,9 @@ def train(
 ) -> Trained:
     """Current model: prepare, search, evaluate, and write model and result when asked."""
     stage = stage.sub("train")
-    rows = stage.table(prepare(star, stage), "training_rows")
+    rows, counts = prepare_counted(star, stage)
     search = training.tune(rows, CURRENT, space, candidates, folds, parallelism, scores_path)
-    return _finish(rows, search, CURRENT, stage, model_path, result_path)
+    return _finish(rows, counts, search, CURRENT, stage, model_path, result_path)
 
 
 def train_baseline(
@@ -89,12 +108,12 @@ def train_baseline(
 ) -> Trained:
     """Older model, trimmed prices and 20 features."""
     stage = stage.sub("train_baseline")
-    rows = stage.table(prepare_baseline(star, stage), "training_rows")
+    rows, counts = prepare_baseline_counted(star, stage)
     search = training.tune(rows, BASELINE, space, candidates, folds, parallelism, scores_path)
-    return _finish(rows, search, BASELINE, stage, model_path, result_path)
+    return _finish(rows, counts, search, BASELINE, stage, model_path, result_path)
 
 
-def _finish(rows, search, features, stage, model_path, result_path) -> Trained:
+def _finish(rows, counts, search, features, stage, model_path, result_path) -> Trained:
     metrics = stage.table(training.evaluate(rows, search.model), "metrics")
     current = features == CURRENT
     record = evaluate.result_record(
@@ -110,7 +129,7 @@ def _finish(rows, search, features, stage, model_path, result_path) -> Trained:
         sinks.save_model(search.model, model_path)
     if result_path:
         sinks.write_metrics(record, result_path)
-    return Trained(search.model, metrics, record, search)
+    return Trained(search.model, metrics, record, search, counts)
 
 
 def compare(

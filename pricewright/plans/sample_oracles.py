@@ -558,6 +558,21 @@ _SCORED = f"""
 
 _BODIES |= {
     "scan_counts_csv": _BODIES["scan_counts"],
+    "scan_counts_layout": _BODIES["scan_counts"],
+    "csv_multiline_records": "SELECT doc_id, md5(text) AS digest FROM documents",
+    "reviews_csv": f"""
+        SELECT {_i('review_id', 'order_id', 'review_score')},
+               date_trunc('second', review_creation_date) AS review_creation_date FROM reviews """,
+    "job_counts": _BODIES["scan_counts"]
+    + " UNION ALL SELECT 'training_rows', count(*) FROM encoded",
+    "order_item_facts_layout": _BODIES["order_item_facts"],
+    "seller_diversity_sketch": """
+        SELECT seller_id, seller_product_diversity, TRUE AS within FROM seller_sales """,
+    "quantile_sketch": """
+        SELECT unnest(['price_low', 'price_median', 'price_high', 'freight_value_low',
+                       'freight_value_median', 'freight_value_high']) AS target,
+               TRUE AS within FROM (SELECT 1) """,
+    "search_prefix_scores": "SELECT unnest([2, 4, 6]) AS rounds, TRUE AS equal",
     "category_median_sales_csv": _BODIES["category_median_sales"],
     "category_avg_review_csv": _BODIES["category_avg_review"],
     "fit_linear": _fit("Linear Regression", "baseline_split"),
@@ -586,6 +601,11 @@ _BODIES |= {
         SELECT count(*) AS rows, 0 AS different FROM encoded WHERE split = 'test'""",
     "score_batch": _SCORED,
     "score_stream": _SCORED,
+    "score_stream_sinks": f"""
+        SELECT request_id, CASE WHEN reasons = '' THEN predicted_price END AS predicted_price,
+               error, CASE WHEN error IS NULL THEN 'priced' ELSE 'rejected' END AS sink
+        FROM (SELECT request_id, {_r('predicted_price')}, nullif(reasons, '') AS error, reasons
+              FROM checked LEFT JOIN priced_requests USING (request_id)) """,
     "score_batch_tree": """
         SELECT request_id, CASE WHEN reasons = '' THEN TRUE END AS priced,
                nullif(reasons, '') AS error FROM checked """,

@@ -9,18 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import schemas
 from ..functions.features import price_of, with_calendar_features, with_physical_features
+from ..functions import sketches
 from ..functions.numeric import round_half_even
 from ..operators import category, clean, demand, encode, evaluate, facts, payments, reviews, score
 from ..sources import sinks
+from ..sources import layout, records
 from ..sources.sample import sample_items, sample_requests, sample_star
 from ..sources.star import StarSchema, read_star, scan_counts as star_counts
 from ..stage import Stage
-from ..streaming.scoring import score_stream as start_scoring
-from . import jobs, presets, training
+from ..streaming.scoring import score_into_sinks, score_stream as start_scoring
+from . import jobs, presets, search, training
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,6 +105,49 @@ def _csv_star(spark: SparkSession, folder: str) -> StarSchema:
     return read_star(spark, stage.root)
 
 
+@query
+def csv_multiline_records(spark, folder):
+    """Texts with line breaks and quotes, written as CSV and read back, a file by many tasks."""
+    store, reader = Stage(spark), spark.newSession()
+    reader.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    path = store.path("documents.csv")
+    documents.coalesce(1).write.options(**records.WRITE_OPTIONS).csv(path)
+    schema = T.StructType(
+        [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]
+    )
+    found = records.read_records(reader, path, schema)
+    return found.select("doc_id", F.md5("text").alias("digest"))
+
+
+@query
+def reviews_csv(spark, folder):
+    reviews = _csv_star(spark, folder).reviews
+    ids = [F.col(c).cast("long").alias(c) for c in ("review_id", "order_id")]
+    # The CSV writer keeps no more than milliseconds.
+    created = F.date_trunc("second", "review_creation_date").cast("timestamp_ntz")
+    return comparable(reviews.select(*ids, "review_score", created.alias("review_creation_date")))
+
+
+def _layout_star(spark: SparkSession, folder: str) -> tuple[StarSchema, Stage]:
+    """The sample star in buckets of the order id."""
+    stage = Stage(spark)
+    layout.write_layout(sample_star(spark, folder), stage.path("layout"), 8)
+    return layout.read_layout(spark, stage.path("layout")), stage
+
+
+@query
+def scan_counts_layout(spark, folder):
+    return star_counts(_layout_star(spark, folder)[0])
+
+
+@query
+def job_counts(spark, folder):
+    """Source and result counts, taken from the jobs that write the training table."""
+    _, counts = jobs.prepare_counted(sample_star(spark, folder), Stage(spark))
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
+
+
 # Categories
 
 
@@ -221,6 +267,44 @@ def seller_demand(spark, folder):
     return demand.seller_demand(demand.activity(sample_star(spark, folder).items))
 
 
+@query
+def seller_diversity_sketch(spark, folder):
+    """Distinct sketches of two loads, merged, against the exact counts: three standard errors."""
+    items = sample_star(spark, folder).items
+    even = F.col("order_id") % 2 == 0
+    loads = [sketches.seller_products(items.filter(part)) for part in (even, ~even)]
+    guess = sketches.seller_diversity(sketches.merge_seller_products(*loads))
+    exact = demand.seller_demand(demand.activity(items)).drop("seller_sales_count")
+    gap = F.abs(F.col("guess") - F.col("seller_product_diversity"))
+    allowed = F.greatest(F.lit(1.0), 3 * sketches.DISTINCT_ERROR * F.col("seller_product_diversity"))
+    return exact.join(guess.toDF("seller_id", "guess"), "seller_id").select(
+        "seller_id", "seller_product_diversity", (gap <= allowed).alias("within")
+    )
+
+
+@query
+def quantile_sketch(spark, folder):
+    """Quantiles from sketches of two loads, merged: whether their exact rank is within the error."""
+    items = sample_star(spark, folder).items
+    even = F.col("order_id") % 2 == 0
+    columns = ["price", "freight_value"]
+    loads = [sketches.value_sketches(items.filter(part), columns) for part in (even, ~even)]
+    ranks = {0.01: "low", 0.5: "median", 0.99: "high"}
+    targets = {f"{c}_{n}": (c, r) for c in columns for r, n in ranks.items()}
+    guess = Stage(spark).table(
+        sketches.quantiles_of(sketches.merge_value_sketches(*loads), targets), "guess"
+    )
+    found = guess.select(F.struct(*targets).alias("found")).scalar()
+    rows = []
+    for name, (column, rank) in targets.items():
+        # Equal values share a span of ranks, from those below to those up to the value.
+        below = F.avg((F.col(column) < found[name]).cast("double"))
+        upto = F.avg((F.col(column) <= found[name]).cast("double"))
+        near = (below <= rank + sketches.RANK_ERROR) & (upto >= rank - sketches.RANK_ERROR)
+        rows.append(F.struct(F.lit(name).alias("target"), near.alias("within")))
+    return items.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 # Facts and derived features
 
 
@@ -229,6 +313,12 @@ def order_item_facts(spark, folder):
     return comparable(_keyed(_facts(spark, folder)))
 
 
+@query
+def order_item_facts_layout(spark, folder):
+    star, stage = _layout_star(spark, folder)
+    return comparable(_keyed(facts.build_facts(star, stage)))
+
+
 @query
 def physical_features(spark, folder):
     star = sample_star(spark, folder)
@@ -484,6 +574,25 @@ def tune_summary_baseline(spark, folder):
     return _search_facts(spark, tuned, space)
 
 
+@query
+def search_prefix_scores(spark, folder):
+    """Whether the prefixes of one boosted chain score as models fitted with so many rounds."""
+    rows, _ = _training_rows(spark, folder)
+    encoder = training.Pipeline(stages=jobs.CURRENT.stages()).fit(encode.train_rows(rows))
+    both = Stage(spark).table(encoder.transform(rows).select("features", "label", "split"), "rows")
+    train, held = encode.train_rows(both), encode.test_rows(both)
+    values = {**presets.BEST_PARAMS, "max_depth": 4, "subsample": 0.8}
+    rounds = (2, 4, 6)
+    models = {
+        k: training.estimator("gbt", **{**values, "n_estimators": k}).fit(train) for k in rounds
+    }
+    staged = search.prefix_scores(models[6], held, rounds)
+    r2 = RegressionEvaluator(labelCol="label", metricName="r2")
+    alone = [r2.evaluate(models[k].transform(held)) for k in rounds]
+    equal = [(k, abs(a - b) < 1e-9) for k, a, b in zip(rounds, staged, alone)]
+    return spark.createDataFrame(equal, "rounds long, equal boolean")
+
+
 @query
 def result_record(spark, folder):
     stage = Stage(spark)
@@ -602,20 +711,39 @@ def score_batch_tree(spark, folder):
     return scored.selectExpr("request_id", "predicted_price > 0 AS priced", "error")
 
 
-@query
-def score_stream(spark, folder):
-    model, stage = _scoring_model(spark, folder)
+def _request_stream(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{folder}/lineitem.parquet")
     stream = (
         spark.readStream.schema(lineitem.schema)
         .option("pathGlobFilter", "lineitem.parquet")
         .parquet(folder)
     )
-    requests = sample_requests(sample_items(stream), sample_star(spark, folder))
-    output = stage.path("scored")
+    return sample_requests(sample_items(stream), sample_star(spark, folder))
+
+
+@query
+def score_stream(spark, folder):
+    model, stage = _scoring_model(spark, folder)
+    requests, output = _request_stream(spark, folder), stage.path("scored")
     start_scoring(
         requests, model, output, stage.path("scoring_log"), ("request_id",)
     ).awaitTermination()
     return comparable(
         spark.read.schema("request_id string, predicted_price double, error string").parquet(output)
     )
+
+
+@query
+def score_stream_sinks(spark, folder):
+    model, stage = _scoring_model(spark, folder)
+    priced, rejected = stage.path("priced"), stage.path("rejected")
+    requests = _request_stream(spark, folder)
+    score_into_sinks(
+        requests, model, priced, rejected, stage.path("sinks_log"), ("request_id",)
+    ).awaitTermination()
+    kinds = "request_id string, predicted_price double"
+    good = spark.read.schema(kinds).parquet(priced).withColumn("sink", F.lit("priced"))
+    bad = spark.read.schema("request_id string, error string").parquet(rejected)
+    bad = bad.withColumn("sink", F.lit("rejected"))
+    both = good.unionByName(bad, allowMissingColumns=True)
+    return comparable(both.select("request_id", "predicted_price", "error", "sink"))

@@ -23,10 +23,13 @@ class StarSchema:
     reviews: DataFrame | None = None
     customers: DataFrame | None = None
     sellers: DataFrame | None = None
+    #: Whether orders, payments, reviews and items lie in equal buckets of the order id, and the orders
+    #: carry their customer's state; see :mod:`pricewright.sources.layout`.
+    by_order: bool = False
 
     def tables(self) -> dict[str, DataFrame]:
         present = {f.name: getattr(self, f.name) for f in fields(self)}
-        return {name: df for name, df in present.items() if df is not None}
+        return {name: df for name, df in present.items() if isinstance(df, DataFrame)}
 
 
 #: Where the CSV reader puts a record that it cannot split.

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,6 +46,8 @@ class Stage:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root or f"{shared_dir(spark)}/pricewright-{uuid.uuid4().hex}"
+        #: Names in the catalog of the bucketed tables written here and below.
+        self._names: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -53,15 +55,44 @@ class Stage:
     def sub(self, name: str) -> Stage:
         """A folder of its own below this one, so that jobs which share a stage, or one job run
         twice, never write the same table. It goes with this stage."""
-        return Stage(self.spark, f"{self.root}/{name}-{uuid.uuid4().hex[:12]}")
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return a reader over the written files."""
-        df.write.mode("error").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        below = Stage(self.spark, f"{self.root}/{name}-{uuid.uuid4().hex[:12]}")
+        below._names = self._names
+        return below
+
+    def table(
+        self, df: DataFrame, name: str, bucketed: tuple[str, int] | None = None
+    ) -> DataFrame:
+        """Write ``df`` once and return a reader over the written files.
+
+        With ``bucketed``, a column and a number, rows are dealt into that many sorted files by the
+        column, and tables with equal numbers are joined on it without an exchange.
+        """
+        if bucketed is None:
+            df.write.mode("error").parquet(self.path(name))
+            return self.spark.read.schema(df.schema).parquet(self.path(name))
+        column, buckets = bucketed
+        known = f"pricewright_{uuid.uuid4().hex}"
+        writer = df.repartition(buckets, column).write.mode("error").format("parquet")
+        writer = writer.bucketBy(buckets, column).sortBy(column).option("path", self.path(name))
+        writer.saveAsTable(known)
+        self._names.append(known)
+        return self.spark.table(known)
+
+    def counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """As :meth:`table`, with the number of rows, counted by the tasks that write them."""
+        seen = Observation()
+        table = self.table(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+        return table, seen.get["rows"]
+
+    def forget(self) -> None:
+        """Take bucketed tables out of the catalog; their files stay."""
+        for name in self._names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._names.clear()
 
     def remove(self) -> None:
         """Delete the folder, wherever it is. Tables read from it are no longer usable."""
+        self.forget()
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -12,6 +12,10 @@ from .. import schemas
 from ..operators.score import CORRUPT, score
 
 
+#: Files of a batch where the caller names no limit, so that a backlog is no single huge batch.
+FILES_PER_BATCH = 1000
+
+
 def request_schema(keep: Sequence[str] = ()) -> T.StructType:
     """The request fields behind text columns ``keep`` (such as an id) to pass through.
 
@@ -42,13 +46,14 @@ def read_requests(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """Request files of a folder as a stream. A limit, of one kind only, bounds each batch of a backlog."""
+    """Request files of a folder as a stream. A limit, of one kind only, bounds each batch of a backlog;
+    without one it is ``FILES_PER_BATCH`` files."""
     schema = spark.read.parquet(folder).schema if fmt == "parquet" else request_schema(keep)
     reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    if max_files_per_trigger is not None or max_bytes_per_trigger is None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger or FILES_PER_BATCH)
     return reader.format(fmt).load(folder)
 
 
@@ -75,3 +80,42 @@ def score_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def _write_sink(rows: DataFrame, path: str, batch_id: int) -> None:
+    """The rows of one batch, in a folder named by it, which a repeated batch replaces."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def score_into_sinks(
+    requests: DataFrame,
+    model: PipelineModel,
+    priced: str,
+    rejected: str,
+    checkpoint: str,
+    keep: tuple[str, ...] = (),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start scoring into two folders: priced requests, and rejected ones with their ``error``.
+
+    Each batch is read and scored once. Its rows in either folder lie under its number, and a batch
+    that runs again after a failure, whichever of the writes it had reached, writes the same folders
+    anew: every request ends up in one sink, once. Read a sink with ``spark.read.parquet(folder)``;
+    the batch number is a column of it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        scored = score(batch, model, keep).persist()
+        try:
+            _write_sink(scored.filter("error IS NULL").drop("error"), priced, batch_id)
+            refused = scored.filter("error IS NOT NULL").drop("predicted_price")
+            _write_sink(refused, rejected, batch_id)
+        finally:
+            scored.unpersist()
+
+    return (
+        requests.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -19,7 +19,9 @@ COMPARED = [
     "baseline_features", "feature_row", "split_counts", "target_roundtrip", "regression_metrics",
     "one_hot_levels", "score_validate", "score_features", "scan_counts_csv", "category_median_sales_csv",
     "top_categories", "bottom_categories", "category_seed_rows", "fit_linear", "fit_tree",
-    "model_roundtrip", "score_batch", "score_stream", "score_batch_tree",
+    "model_roundtrip", "score_batch", "score_stream", "score_batch_tree", "csv_multiline_records",
+    "reviews_csv", "scan_counts_layout", "job_counts", "order_item_facts_layout",
+    "seller_diversity_sketch", "quantile_sketch", "score_stream_sinks",
 ]
 
 
