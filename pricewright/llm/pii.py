@@ -1,24 +1,28 @@
 """Information-theoretic removal of personal data, in DataFrame expressions only.
 
 Method: patterns find the protected entities (mail and IP addresses, card and phone numbers). Corpus
-counts then estimate how strongly the words of its documents reveal it: with N documents, df(e) of
+counts then estimate how strongly the words of its documents reveal it: with N different texts, df(e) of
 which hold the entity, df(t) the term, and n(e, t) both, the pointwise
 mutual information log2(n N / (df(e) df(t))) over the information content log2(N / df(e)) is the share
 of the entity's information that the term discloses; it is 1 if the term occurs nowhere
-else. A term that reaches ``THRESHOLD`` for an entity, with a support of ``SUPPORT`` documents,
+else. A term that reaches ``THRESHOLD`` for an entity, with a support of ``SUPPORT`` different texts,
 is a span of kind ``term`` wherever it stands, in documents without that entity too. In the
 sanitised text an entity is generalised to its kind, a term to ``[TERM]``, and a term that discloses all
-is removed.
+is removed. Copies of a text are one text to the counts: two copies of a page with an address do not make
+its rare words disclose the address.
 
-Pairs of one document are formed only where their document frequencies allow the threshold: n(e, t)
-is at most df(e), so a term past it has df(t) <= N^(1 - threshold) df(e)^threshold.
+Only entities of ``SUPPORT`` texts or more are looked at, and those that stand in the same texts as
+one: a text with thousands of addresses, and its other versions, form one class of entities with their
+terms, not all pairs. Pairs of a text are formed only where its document frequencies allow the threshold:
+n(e, t) is at most df(e), so a term past it has df(t) <= N^(1 - threshold) df(e)^threshold.
 
 Patterns start only where a run of their characters starts or the previous match ended, and repeat
 possessively. Both leave the leftmost matches as they are, and keep the search linear in the text.
 
 Defined cases: null and empty texts have no spans; a null id is one document before all others; repeated rows
-count each in the corpus counts and get equal results; a corpus in which every document holds the
-entity gives it no information, so no term discloses it; an empty table gives an empty result.
+and copies count once in the corpus counts and get equal results; a corpus in which every text holds
+the entity gives it no information, so no term discloses it; an empty table gives an empty result.
+A very long text is searched whole; its places are counted in one pass.
 Columns other than ``doc_id`` and ``text`` are not used for detection; sanitising keeps them all.
 """
 
@@ -26,11 +30,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .tables import NULL_ID, doc_id, keyed, read, stage, version_of
+from ..stage import Stage
+from .tables import NULL_ID, doc_id, keyed, read, repeats_ids, stage, version_of
 
 KINDS = ("email", "ip", "card", "phone")
 THRESHOLD = 0.9
 SUPPORT = 2
+#: Terms, of some 100 bytes each in memory, that are sent to every task; more are met by a shuffle.
+BROADCAST_TERMS = 300_000
+#: Documents, two numbers each, whose keys are sent to every task; more are met by a shuffle of the texts.
+BROADCAST_KEYS = 1_000_000
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
@@ -115,8 +124,8 @@ def _words(text: Column) -> Column:
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """``id, version, spans, entities, terms`` of every row of :func:`tables.keyed`: its distinct entities
-    and, where it holds some, its distinct terms outside of all."""
+    """``id, version, digest, spans, entities, terms`` of every row of :func:`tables.keyed`: a hash of its
+    text, its distinct entities and, where it holds some, its distinct terms outside of all."""
     found = docs.select("id", "version", "text", base_spans(F.col("text")).alias("spans"))
 
     def entity(span: Column) -> Column:
@@ -130,47 +139,96 @@ def detect(docs: DataFrame) -> DataFrame:
     return found.select(
         "id",
         "version",
+        F.unhex(F.md5("text")).alias("digest"),
         "spans",
         F.array_distinct(F.transform("spans", entity)).alias("entities"),
         F.when(F.size("spans") > 0, _words(rest)).otherwise(none).alias("terms"),
     )
 
 
+def _copies(found: DataFrame, store: Stage) -> DataFrame:
+    """``id, version`` of the documents whose text an earlier one has as well."""
+    first = found.groupBy("digest").agg(
+        F.min(F.struct("id", "version")).alias("first"), F.count("*").alias("rows")
+    )
+    # Written, so that the join is a broadcast of known size, or shuffles that split a hot text.
+    repeated = store.table(first.filter("rows > 1").select("digest", "first"), "repeated")
+    return (
+        found.select("id", "version", "digest")
+        .join(repeated, "digest")
+        .filter(F.struct("id", "version") != F.col("first"))
+        .select("id", "version")
+        .distinct()
+    )
+
+
+def _with(words: DataFrame, terms: DataFrame, how: str) -> DataFrame:
+    """The rows of ``words`` whose term is among the written ``terms``. Up to ``BROADCAST_TERMS`` of them
+    the words stay where they are."""
+    small = terms.count() <= BROADCAST_TERMS
+    return words.join(F.broadcast(terms) if small else terms, "term", how)
+
+
 def disclosures(
-    docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT
+    docs: DataFrame,
+    found: DataFrame,
+    threshold: float = THRESHOLD,
+    support: int = SUPPORT,
+    store: Stage | None = None,
 ) -> DataFrame:
-    """``entity, term, share`` of the terms that disclose ``threshold`` or more of an entity."""
-    n = docs.count()
-    total = F.lit(n)
-    held = found.filter(F.size("entities") > 0)
-    own = held.select("id", "version", F.explode("entities").alias("entity"))
-    entities = own.groupBy("entity").agg(F.count("*").alias("df_entity")).filter(F.col("df_entity") >= support)
-    most = entities.agg(F.max("df_entity")).first()[0] or 0
+    """``entity, term, share`` of the terms that disclose ``threshold`` or more of an entity. Of entities
+    that stand in the same texts, the first speaks for all. Tables are staged in ``store``."""
+    store = store or stage(docs.sparkSession)
+    # Two numbers for each further copy. Below the broadcast threshold texts stay where they are; above
+    # it they are shuffled once, by their unique keys.
+    copies = store.table(_copies(found, store), "copies")
+    one = ["id", "version"]
+    held = found.filter(F.size("entities") > 0).dropDuplicates(one).join(copies, one, "left_anti")
+    held = store.table(held.select(*one, "entities", "terms"), "held")
+    own = held.select(*one, F.explode("entities").alias("entity"))
+    where = [F.xxhash64(F.lit(seed), *one) for seed in (0, 1)]
+    entities = (
+        own.groupBy("entity")
+        .agg(F.count("*").alias("df_entity"), *[F.bit_xor(h).alias(f"at{i}") for i, h in enumerate(where)])
+        .filter(F.col("df_entity") >= support)
+        .groupBy("df_entity", "at0", "at1")
+        .agg(F.min("entity").alias("entity"))
+        .select("entity", "df_entity")
+    )
+    entities = store.table(entities, "entities")
+    most = entities.agg(F.max("df_entity")).first()[0]
+    if most is None:
+        return docs.sparkSession.createDataFrame([], "entity string, term string, share double")
+    total = F.lit(found.select("digest").distinct().count())
 
     def bound(df_entity: Column) -> Column:
         return F.pow(total, 1 - threshold) * F.pow(df_entity, threshold) * (1 + 1e-9)
 
-    terms = (
-        docs.select(F.explode(_words(F.col("text"))).alias("term"))
+    # Only the terms of texts that hold such an entity are of use.
+    left = store.table(own.join(entities, "entity"), "holders")
+    near = (
+        held.join(left.select(*one).distinct(), one, "left_semi")
+        .select(*one, F.explode("terms").alias("term"))
+    )
+    near = store.table(near, "near")
+    wanted = store.table(near.select("term").distinct(), "wanted")
+    every = docs.join(copies, one, "left_anti").select(
+        *one, F.explode(_words(F.col("text"))).alias("term")
+    )
+    if repeats_ids(docs, "id"):
+        every = every.distinct()
+    counted = (
+        _with(every, wanted, "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("df_term"))
         .filter(F.col("df_term").between(F.lit(support), bound(F.lit(most))))
     )
-    # Repeated rows count each: their entities with the number of rows, their terms once.
-    left = own.join(entities, "entity").groupBy("id", "version", "entity", "df_entity").agg(
-        F.count("*").alias("rows")
-    )
-    right = (
-        held.select("id", "version", F.explode("terms").alias("term"))
-        .join(terms, "term")
-        .select("id", "version", "term", "df_term")
-        .distinct()
-    )
+    terms = store.table(counted, "terms")
     joined = (
-        left.join(right, ["id", "version"])
+        left.join(near.join(terms, "term"), one)
         .filter(F.col("df_term") <= bound(F.col("df_entity")))
         .groupBy("entity", "term", "df_entity", "df_term")
-        .agg(F.sum("rows").alias("both"))
+        .agg(F.count("*").alias("both"))
         .filter(F.col("both") >= support)
     )
     content = F.log2(total / F.col("df_entity"))
@@ -199,17 +257,24 @@ def spans(
     with their disclosed share as value."""
     store = stage(docs.sparkSession)
     found = store.table(detect(docs), "found")
-    known = store.table(disclosures(docs, found, threshold, support), "disclosures")
+    known = disclosures(docs, found, threshold, support, store)
     # A term that discloses several entities has the largest share.
-    known = known.groupBy("term").agg(F.max("share").alias("share"))
+    known = store.table(known.groupBy("term").agg(F.max("share").alias("share")), "disclosing")
+    if not known.head(1):
+        return found.select("id", "version", "spans", F.col("spans").alias("all_spans"))
     holding = (
-        docs.select("id", "version", F.explode(_words(F.col("text"))).alias("term"))
-        .join(known, "term")
+        _with(docs.select("id", "version", F.explode(_words(F.col("text"))).alias("term")), known, "inner")
         .groupBy("id", "version")
         .agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("shares"))
     )
+    holding = store.table(holding, "holding")
+    # Only the texts that hold a term are shuffled to their terms.
+    keys = holding.select("id", "version").distinct()
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    touched = docs.join(keys, ["id", "version"], "left_semi")
     terms = (
-        docs.join(holding, ["id", "version"])
+        touched.hint("merge")
+        .join(holding, ["id", "version"])
         .select("id", "version", "shares", _placed(F.col("text"), F.col("shares")).alias("placed"))
         .dropDuplicates(["id", "version"])
     )

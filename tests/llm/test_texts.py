@@ -111,10 +111,11 @@ def test_registered_pii(spark, sample):
 
 def test_disclosing_terms(documents):
     filler = "plain words of no note at all "
-    rows = [(i, filler * 3) for i in range(20)]
-    rows += [(20 + i, f"{filler} Quillfeather wrote bob@x.org the words {filler}") for i in range(3)]
+    # Copies count once, so all texts differ.
+    rows = [(i, filler * 3 + f" {i}") for i in range(20)]
+    rows += [(20 + i, f"{filler} Quillfeather wrote bob@x.org the words {filler} {i}") for i in range(3)]
     rows += [(30, "the plain words wrote and wrote"), (31, "zebra once eve@y.org")]
-    rows += [(40, None), (None, "")]
+    rows += [(40, None), (None, "?")]
     docs = keyed(documents(rows))
     n = len(rows)
     term = lambda t: {w.lower() for w in re.findall(r"[^\W\d_][^\W_]{2,}", t or "")}
@@ -384,17 +385,18 @@ def test_features_are_those_of_each_text(texts):
 
 def test_disclosing_terms_go_wherever_they_stand(documents):
     filler = "plain words of no note at all "
-    rows = [(i, filler * 3) for i in range(200)]
-    rows += [(200 + i, f"Quillfeather {filler * 4} wrote bob@x.org {filler}") for i in range(5)]
-    rows += [(300, f"{filler} QUILLFEATHER alone"), (301, f"{filler} QUILLFEATHER alone")]
-    rows += [(400, f"{filler * 5} Quillfeather, {filler}")] * 2
+    # Copies count once, so all texts differ.
+    rows = [(i, f"{filler * 3} {i}") for i in range(200)]
+    rows += [(200 + i, f"Quillfeather {filler * 4} wrote bob@x.org {filler} {i}") for i in range(5)]
+    rows += [(300, f"{filler} QUILLFEATHER alone"), (301, f"{filler} QUILLFEATHER alone 1")]
+    rows += [(400, f"{filler * 5} Quillfeather, {filler}"), (401, f"{filler * 5} Quillfeather, {filler} 1")]
     docs = documents(rows)
     share = {(r.entity, r.term): r.share for r in pii.disclosures(keyed(docs), pii.detect(keyed(docs))).collect()}
     n, df, entity = len(rows), 9, 5
     expected = math.log2(5 * n / (entity * df)) / math.log2(n / entity)
     assert expected < pii.THRESHOLD and ("email:bob@x.org", "quillfeather") not in share
-    rows = [r for r in rows if r[0] not in (301, 400)] + [(400, f"{filler * 5} Quillfeather, {filler}")]
-    rows += [(500 + i, filler) for i in range(5000)]
+    rows = [r for r in rows if r[0] not in (301, 401)]
+    rows += [(500 + i, f"{filler} {i} {i}") for i in range(5000)]
     docs = documents(rows)
     share = {(r.entity, r.term): r.share for r in pii.disclosures(keyed(docs), pii.detect(keyed(docs))).collect()}
     expected = math.log2(5 * len(rows) / (entity * 7)) / math.log2(len(rows) / entity)
@@ -404,6 +406,93 @@ def test_disclosing_terms_go_wherever_they_stand(documents):
     assert clean[300] == f"{filler} [TERM] alone" and clean[400] == f"{filler * 5} [TERM], {filler}"
 
 
+def brute_spans(rows):
+    """All spans of (key, text) rows, from the definition: counts over different texts."""
+    import regex
+
+    term = regex.compile(r"\p{L}[\p{L}\p{N}]{2,}+")
+    touching = regex.compile("[\\p{L}\\p{N}]*+\ue000[\\p{L}\\p{N}]*+")
+
+    def parts(text):
+        found = []
+        for s in filter(None, base_spans(text).split(",")):
+            kind, a, b = s.split(":")
+            found.append((int(a), int(b), kind))
+        return found
+
+    def named(kind, value):
+        return f"{kind}:{re.sub('[^0-9]', '', value) if kind in ('card', 'phone') else value.lower()}"
+
+    texts = {t or "" for _, t in rows}
+    words = {t: {w.lower() for w in term.findall(t)} for t in texts}
+    df = Counter(w for t in texts for w in words[t])
+    entities, outside = {}, {}
+    for t in texts:
+        spans = parts(t)
+        entities[t] = {named(k, t[a:b]) for a, b, k in spans}
+        out, at = "", 0
+        for a, b, _ in spans:
+            if a >= at:
+                out += t[at:a] + "\ue000"
+            at = max(at, b)
+        outside[t] = {w.lower() for w in term.findall(touching.sub(" ", out + t[at:]))}
+    held = Counter(e for t in texts for e in entities[t])
+    n, share = len(texts), {}
+    for e, k in held.items():
+        if k < pii.SUPPORT or k == n:
+            continue
+        both = Counter(w for t in texts if e in entities[t] for w in outside[t])
+        for w, m in both.items():
+            value = math.log2(m * n / (k * df[w])) / math.log2(n / k)
+            if m >= pii.SUPPORT and value >= pii.THRESHOLD:
+                share[w] = max(share.get(w, 0), value)
+    result = []
+    for key, t in rows:
+        t = t or ""
+        base = parts(t)
+        spans = [(a, list(PATTERNS).index(k), b, k) for a, b, k in base]
+        for m in term.finditer(t):
+            a, b = m.span()
+            if m[0].lower() in share and not any(x < b and a < y for x, y, _ in base):
+                spans.append((a, len(PATTERNS), b, "term"))
+        result.append((key, ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))))
+    return sorted(result, key=str), share
+
+
+def test_all_spans_against_brute_force(documents, sample):
+    filler = "plain words of no note at all"
+    rows = [(10**6 + i, t) for i, t in sample]
+    rows += [(i, f"{filler} Quillfeather Zöllner wrote bob@x.org about {i} Ostrich{i % 2}") for i in range(4)]
+    rows += [(10 + i, f"QUILLFEATHER {i} and zöllner, +49 30 1234567 nearby Marble") for i in range(1)]
+    # Copies of one text with an address: its rare words disclose nothing.
+    rows += [(20 + i, f"{filler} uniquely oddword for eve@y.org") for i in range(5)]
+    rows += [(30, "oddword uniquely again"), (31, None), (None, ""), (32, "x@y.zz x@y.zz")]
+    rows += [(33, "one ip 10.0.0.1 Basalt"), (34, "Basalt two ip 10.0.0.1"), (34, "Basalt two ip 10.0.0.1")]
+    expected, share = brute_spans(rows)
+    assert {"quillfeather", "zöllner", "basalt"} <= share.keys() and "oddword" not in share
+    found = pii.spans(keyed(documents(rows, extra=True)))
+    text = pii._text_of_spans(F.col("all_spans"))
+    got = [(None if r.id == -(2**63) else r.id, r.s) for r in found.select("id", text.alias("s")).collect()]
+    assert sorted(got, key=str) == expected
+
+
+def test_many_terms_are_met_by_a_shuffle(documents, monkeypatch):
+    rows = [(i, f"filler {i} Quillfeather wrote bob@x.org") for i in range(3)]
+    rows += [(10 + i, f"filler {i} only") for i in range(30)] + [(50, "the Quillfeather")]
+    expected, _ = brute_spans(rows)
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
+    found = pii.spans(keyed(documents(rows)))
+    text = pii._text_of_spans(F.col("all_spans"))
+    assert sorted(((r.id, r.s) for r in found.select("id", text.alias("s")).collect()), key=str) == expected
+
+
+def test_many_entities_of_one_text_form_one_class(documents):
+    many = " ".join(f"name{i}@host{i}.org Word{chr(97 + i % 26)}x{i}" for i in range(1200))
+    docs = keyed(documents([(1, many), (2, many + " second"), (3, "else"), (4, "more text")]))
+    found = pii.disclosures(docs, pii.detect(docs)).collect()
+    assert len({r.entity for r in found}) == 1 and len(found) == 1200
+
+
 def test_decontamination_finds_parts_wherever_they_start():
     rng = np.random.default_rng(6)
     make = lambda n: "".join(rng.choice(list("abcdefghij "), n)).replace("  ", " a").encode()
