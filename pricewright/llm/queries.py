@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import divergence, filter_audit
 from .decontaminate import op3_decontaminate
 from .divergence import op12_source_divergence
 from .filter_audit import op13_filter_audit
+from .oracles import ORACLES
 from .outliers import op9_outliers
 from .packing import op4_packing
 from .pii import op2_pii
@@ -32,7 +32,5 @@ QUERIES = {
     "op12_source_divergence": op12_source_divergence,
     "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {
-    "op12_source_divergence": divergence.SQL,
-    "op13_filter_audit": filter_audit.SQL,
-}
+
+__all__ = ["ORACLES", "QUERIES"]
