@@ -3,17 +3,21 @@
 Method: each document has a vector of transformed text statistics. For every language and source, a
 minimum-covariance-determinant estimate finds the half to three quarters of its documents whose
 covariance has the least determinant: from deterministic starts, concentration steps keep the
-documents nearest by Mahalanobis distance and estimate again. A document is rejected whose
-distance from its group's estimate, scaled to be consistent at the median, exceeds a quantile of
-the chi-squared law.
+documents nearest by Mahalanobis distance and estimate again, until no determinant falls. A document
+is rejected whose distance from its group's estimate, scaled to be consistent at the median, exceeds a
+quantile of the chi-squared law.
+
+A language and source with fewer than ``MIN_ROWS`` documents is judged by the estimate of its whole
+language, and a language with fewer by that of all documents. These are more groups in the same
+passes: a row stands once in its own group, and once in each wider group that some small one needs.
 
 All groups go through a step together, in one pass over a slim written table: distances are counted in
 bins per group, with the moments of each bin, so neither a group's rows nor its distances are ever
 gathered, and a source that holds a third of all rows is combined before its shuffle.
 
 Defined cases: null and empty texts have no words and fail the base rule; null language or source
-is a value of its own; documents that fail the base rule take no part in the estimates; a group of fewer
-than ``MIN_ROWS`` others has no estimate and rejects nothing; features that do not vary keep a
+is a value of its own; documents that fail the base rule take no part in the estimates; a table with fewer
+than ``MIN_ROWS`` others has no estimate at all and rejects nothing; features that do not vary keep a
 least spread; repeated rows count each; an empty table gives an empty result. Columns other than
 ``doc_id, text, lang, source`` are not used.
 """
@@ -32,8 +36,9 @@ from . import runs as R
 from .tables import read, stage, text_of
 
 SHARE = 0.75
-STEPS = 8
 MIN_ROWS = 50
+#: A group's steps end where the logarithm of its determinant falls by no more than this.
+LEAST_FALL = 1e-3
 #: Chance of a document of the estimated law to be rejected.
 CHANCE = 1e-9
 REPEAT = 8
@@ -142,6 +147,9 @@ def _features() -> list[Column]:
 _X = [f"x{i}" for i in range(_N)]
 _PAIRS = [(i, j) for i in range(_N) for j in range(i, _N)]
 _GROUP = ["lang_key", "source_key"]
+#: Stands for every language or source; keys of values begin with a plus or a minus.
+_EVERY = "*"
+LEVELS = ("source", "language", "all")
 
 
 def _keys(df: DataFrame) -> DataFrame:
@@ -152,6 +160,38 @@ def _keys(df: DataFrame) -> DataFrame:
     return df
 
 
+def _levels(rows: DataFrame, store: Stage) -> DataFrame:
+    """For each language and source, ``level`` (of ``LEVELS``) of the estimate that judges it, and
+    ``wider``, the levels beyond its own to which its rows contribute."""
+    own = store.table(rows.groupBy(*_GROUP).count(), "groups")
+    by_lang = own.groupBy("lang_key").agg(
+        F.sum("count").alias("lang_count"), F.min("count").alias("least")
+    )
+    by_lang = store.table(by_lang, "languages")
+    # Whether some language is too small: one row.
+    scarce = bool(by_lang.filter(F.col("lang_count") < MIN_ROWS).head(1))
+    enough, lang_enough = F.col("count") >= MIN_ROWS, F.col("lang_count") >= MIN_ROWS
+    level = F.when(enough, 0).when(lang_enough, 1).otherwise(2)
+    helps = lang_enough & (F.col("least") < MIN_ROWS)
+    wider = F.array_compact(F.array(F.when(helps, 1), F.lit(2 if scarce else None).cast("int")))
+    levels = own.join(by_lang, "lang_key").select(*_GROUP, level.alias("level"), wider.alias("wider"))
+    return store.table(levels, "levels")
+
+
+def _at_level(level: Column) -> list[Column]:
+    """The group keys of a row at a level."""
+    lang = F.when(level == 2, F.lit(_EVERY)).otherwise(F.col("lang_key"))
+    source = F.when(level >= 1, F.lit(_EVERY)).otherwise(F.col("source_key"))
+    return [lang.alias("lang_key"), source.alias("source_key")]
+
+
+def _members(rows: DataFrame, levels: DataFrame) -> DataFrame:
+    """One row for each document and group to whose estimate it contributes."""
+    takes = F.when(F.col("level") == 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    joined = rows.join(levels, _GROUP).withColumn("at", F.explode(F.concat(takes, "wider")))
+    return joined.select(*_at_level(F.col("at")), *_X)
+
+
 def _distance() -> Column:
     """Squared Mahalanobis distance of x0.. from ``center`` by the rows of ``inverse``."""
     off = [F.col(x) - F.col("center")[i] for i, x in enumerate(_X)]
@@ -250,11 +290,31 @@ def _concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return _estimates(best.select(*_GROUP, "start", "n", *names))
 
 
+def _lower(now: DataFrame, found: DataFrame) -> DataFrame:
+    """Each estimate, or the one of the next step where the determinant falls; ``falls`` says which."""
+    key = [*_GROUP, "start"]
+    values = ["center", "inverse", "log_det"]
+    new = found.select(*key, *[F.col(v).alias(f"new_{v}") for v in values])
+    falls = F.coalesce(F.col("new_log_det") < F.col("log_det") - LEAST_FALL, F.lit(False))
+    best = [F.when(F.col("falls"), F.col(f"new_{v}")).otherwise(F.col(v)).alias(v) for v in values]
+    joined = now.drop("falls").join(new, key, "left").withColumn("falls", falls)
+    return joined.select(*key, "n", *best, "falls")
+
+
 def estimates(rows: DataFrame, store: Stage) -> DataFrame:
-    """``lang_key, source_key, center, inverse, scale``: the best estimate of each group."""
-    now = store.table(_starts(rows), "estimate-0")
-    for step in range(1, STEPS + 1):
-        now = store.table(_concentrate(rows, now), f"estimate-{step}")
+    """``lang_key, source_key, center, inverse, scale``: the best estimate of each group.
+
+    Steps go on for the groups and starts whose determinant fell. Each fall is to another set of
+    rows and by more than ``LEAST_FALL``, and the least spreads bound the determinant from below.
+    """
+    start = store.table(_starts(rows), "start")
+    now = _concentrate(rows, start).withColumn("falls", F.lit(True))
+    now, step = store.table(now, "estimate-0"), 0
+    while now.filter("falls").head(1):
+        step += 1
+        found = _concentrate(rows, now.filter("falls").drop("falls"))
+        now = store.table(_lower(now, found), f"estimate-{step}")
+    now = now.drop("falls")
     order = Window.partitionBy(*_GROUP).orderBy("log_det", "start")
     best = now.withColumn("rank", F.row_number().over(order)).filter("rank = 1").drop("rank")
     best = store.table(best, "best")
@@ -272,17 +332,33 @@ def estimates(rows: DataFrame, store: Stage) -> DataFrame:
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """Statistics, ``base_failed``, ``distance`` (null without an estimate) and ``kept`` of every row."""
+    """Statistics, ``base_failed``, ``judged_by`` (of ``LEVELS``) and ``distance`` (both null without an
+    estimate) and ``kept`` of every row."""
     store = stage(docs.sparkSession)
     found = statistics(docs).withColumn("base_failed", base_failed())
     table = store.table(
         _keys(found).select("*", *[f.alias(x) for f, x in zip(_features(), _X)]), "statistics"
     )
-    chosen = estimates(table.filter(~F.col("base_failed")).select(*_GROUP, *_X), store)
-    distance = F.when(~F.col("base_failed"), _distance() / F.col("scale"))
-    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUT)
-    joined = table.join(chosen, _GROUP, "left").withColumn("distance", distance)
-    return joined.withColumn("kept", kept).drop("center", "inverse", "scale", *_GROUP, *_X)
+    rows = table.filter(~F.col("base_failed")).select(*_GROUP, *_X)
+    levels = _levels(rows, store)
+    chosen = estimates(store.table(_members(rows, levels), "members"), store)
+    chosen = chosen.withColumnsRenamed({"lang_key": "by_lang", "source_key": "by_source"})
+    by_lang, by_source = _at_level(F.col("level"))
+    name = F.array(*map(F.lit, LEVELS))[F.col("level")]
+    verdicts = (
+        levels.select(*_GROUP, name.alias("level_name"), by_lang.alias("by_lang"), by_source.alias("by_source"))
+        .join(chosen, ["by_lang", "by_source"])
+        .drop("by_lang", "by_source")
+    )
+    judged = ~F.col("base_failed")
+    joined = (
+        table.join(store.table(verdicts, "verdicts"), _GROUP, "left")
+        .withColumn("distance", F.when(judged, _distance() / F.col("scale")))
+        .withColumn("judged_by", F.when(judged, F.col("level_name")))
+    )
+    kept = judged & (F.coalesce("distance", F.lit(0.0)) <= CUT)
+    joined = joined.withColumn("kept", kept)
+    return joined.drop("center", "inverse", "scale", "level_name", *_GROUP, *_X)
 
 
 def op9_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,4 +371,5 @@ def op9_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         "kept",
+        "judged_by",
     )

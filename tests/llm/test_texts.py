@@ -312,7 +312,113 @@ def test_outliers_are_rejected_and_others_kept(documents):
     found = {r.doc_id: r for r in outliers.judge(documents(rows)).collect()}
     assert all(found[i].kept for i in range(240))
     assert not any(found[1000 + i].kept for i in range(12))
-    assert all(found[2000 + i].kept and found[2000 + i].distance is None for i in range(5))
+    assert all(found[2000 + i].kept and found[2000 + i].judged_by == "all" for i in range(5))
+    few = {r.doc_id: r for r in outliers.judge(documents(rows[:20] + [(7000, text(90) + " " + "#$%" * 90)])).collect()}
+    assert all(r.kept and r.distance is None and r.judged_by is None for r in few.values())
+
+
+def least_determinant(x):
+    """Centre, inverse and scale of one group, by the stated rule on plain arrays."""
+    def moments(rows):
+        return rows.mean(0), np.cov(rows.T, bias=True) + np.diag(outliers._FLOOR)
+
+    def distances(center, cov):
+        off = x - center
+        return np.maximum(np.einsum("ni,ij,nj->n", off, np.linalg.inv(cov), off), 0)
+
+    def bins(d):
+        return np.floor(np.log2(d + 2.0**-20) * outliers._BIN)
+
+    def step(center, cov):
+        place = bins(distances(center, cov))
+        last = np.sort(place)[math.ceil(len(x) * outliers.SHARE) - 1]
+        return moments(x[place <= last])
+
+    low, mid, high = np.percentile(x, [25, 50, 75], axis=0)
+    best = []
+    for start in (moments(x), (mid, np.diag(((high - low) / 1.349) ** 2 + outliers._FLOOR))):
+        now = step(*start)
+        while True:
+            following = step(*now)
+            det = [np.linalg.slogdet(e[1])[1] for e in (now, following)]
+            if not det[1] < det[0] - outliers.LEAST_FALL:
+                break
+            now = following
+        best.append((det[0], now))
+    center, cov = min(best, key=lambda b: b[0])[1]
+    d = distances(center, cov)
+    middle = np.sort(bins(d))[math.ceil(len(x) / 2) - 1]
+    scale = max(1.0, 2.0 ** ((middle + 1) / outliers._BIN) / outliers.MEDIAN)
+    return center, np.linalg.inv(cov), scale
+
+
+def vector(text):
+    words, chars, symbols, dups, repeats = statistics(text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    values = [
+        math.log1p(words),
+        math.log(max(chars, 1) / max(words, 1)),
+        math.sqrt(symbols / max(chars, 1)),
+        dups / max(len(lines), 1),
+        repeats / max(words, 1),
+    ]
+    return [math.floor(v * outliers.GRID + 0.5) / outliers.GRID for v in values]
+
+
+def judged(rows):
+    """(level, distance) of each (doc_id, text, lang, source) beyond the base rule."""
+    x, groups = {}, {}
+    for i, text, lang, source in rows:
+        own = statistics(text or "")
+        if own[0] >= 20 and 100 * own[4] <= 30 * own[0]:
+            x[i] = vector(text)
+            for key in ((lang, source), (lang, "*"), ("*", "*")):
+                groups.setdefault(key, []).append(i)
+    made, out = {}, {}
+    for i, text, lang, source in rows:
+        if i not in x:
+            continue
+        for level, key in zip(outliers.LEVELS, ((lang, source), (lang, "*"), ("*", "*"))):
+            if len(groups[key]) >= outliers.MIN_ROWS:
+                if key not in made:
+                    made[key] = least_determinant(np.array([x[d] for d in groups[key]]))
+                center, inverse, scale = made[key]
+                off = np.array(x[i]) - center
+                out[i] = (level, off @ inverse @ off / scale)
+                break
+    return out
+
+
+def test_outliers_as_by_plain_arrays_at_every_level(spark, documents):
+    rng = np.random.default_rng(18)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(900)]
+    rows = []
+    shapes = [("en", "a", 400), ("en", "b", 70), ("en", "c", 9), ("en", None, 6), ("fr", "a", 30), ("fr", "b", 31)]
+    for lang, source, n in [*shapes, ("de", "a", 20), (None, "a", 8)]:
+        for i in range(n):
+            text = " ".join(rng.choice(words, int(rng.integers(25, 400))))
+            if i % 11 == 3:
+                text += " " + "#$%&" * int(rng.integers(20, 200))
+            rows.append((len(rows), text, lang, source))
+    rows += [(len(rows), "too short", "en", "a"), (len(rows) + 1, None, "en", "c")]
+    expected = judged(rows)
+    gone = {level for level, d in expected.values() if d > outliers.CUT}
+    assert gone == {level for level, _ in expected.values()} == set(outliers.LEVELS)
+    for r in outliers.judge(documents(rows)).collect():
+        if r.base_failed:
+            assert r.doc_id not in expected and r.judged_by is None and not r.kept
+            continue
+        level, distance = expected[r.doc_id]
+        assert r.judged_by == level and r.distance == pytest.approx(distance, rel=1e-6, abs=1e-6)
+        assert r.kept == (distance <= outliers.CUT)
+    sample = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sample}/documents.parquet").collect()
+    expected = judged([(r.doc_id, r.text, r.lang, r.source) for r in docs])
+    found = QUERIES["op9_outliers"](spark, sample).collect()
+    assert {r.doc_id: r.judged_by for r in found if not r.base_failed} == {
+        i: level for i, (level, _) in expected.items()
+    }
+    assert {r.doc_id for r in found if r.kept} == {i for i, (_, d) in expected.items() if d <= outliers.CUT}
 
 
 def test_concentration_steps_lower_the_determinant(documents, stage):
