@@ -12,9 +12,15 @@ whole, wherever it starts, so a document that holds it is found. Items under ``S
 found where they stand exactly, not inside a longer ASCII word. Both sides are compared in lower case
 (ASCII) with white space collapsed, as UTF-8 bytes.
 
-The benchmark is the stated query set. It is sent to the tasks in blocks of at most ``BLOCK_BYTES``
+The benchmark is the stated query set. It is sent to the tasks in blocks of about ``BLOCK_BYTES``
 (a larger single item makes a block of its own); a benchmark of many blocks takes as many passes
-over the documents. Documents are never shuffled.
+over the documents. Documents are never shuffled. A worker indexes a block once: one entry for each
+byte of it, of which the segments that cover a shared q-gram are found by arithmetic.
+
+Where a text shares more than ``HITS`` q-grams with segments, as repetitive ones do, it is cut into
+overlapping windows of ``WINDOW`` bytes, and the benchmark into ranges of bytes that segments begin in, until
+each lot is below that number. A window that reads like an earlier one of its text is skipped: it has the same matches, which
+end later. So memory is bounded, and a repetitive text costs what its different windows do.
 
 Defined cases: null and empty texts hold nothing; null and empty items match
 nothing; repeated items count once; repeated rows each get their matches;
@@ -24,6 +30,8 @@ used.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,20 +54,41 @@ RATE = 0.06
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 24
 _STEP = 1 << 20
+#: Shared q-grams that are held at once, unless segments of one start have more in one window.
+HITS = 1 << 19
+#: No q-gram of an item is in more segments.
+_COVER = -(-SEGMENT // STRIDE) + -(-PART // PART_STRIDE) + 2
+WINDOW = 4096
+#: No match, edits included, is longer.
+_OVERLAP = 2 * SEGMENT
+#: Candidates aligned at once.
+_LOT = 1 << 14
 
 
 def normal(text: bytes) -> bytes:
     return b" ".join(text.lower().split())
 
 
+def _starts(n: int, size: int, stride: int) -> np.ndarray:
+    """Where the segments of a size begin in ``n`` bytes; the last one ends with them."""
+    last = max(0, n - size)
+    return np.unique(np.append(np.arange(0, last + 1, stride), last))
+
+
+def _kinds(n: int) -> list[tuple[int, int]]:
+    """(size, stride) of the segments of an item of ``n`` bytes."""
+    if n < SHORTEST:
+        return []
+    return [(SEGMENT, STRIDE), (PART, PART_STRIDE)][: 2 if n > PART else 1]
+
+
 def segments(text: bytes) -> list[tuple[int, bytes]]:
     """(start, bytes) of the segments of a normal item text."""
-    if len(text) < SHORTEST:
-        return []
-    places = set()
-    for size, stride in ((SEGMENT, STRIDE), (PART, PART_STRIDE)):
-        last = max(0, len(text) - size)
-        places |= {(s, min(size, len(text) - s)) for s in (*range(0, last + 1, stride), last)}
+    places = [
+        (int(s), min(size, len(text)))
+        for size, stride in _kinds(len(text))
+        for s in _starts(len(text), size, stride)
+    ]
     return [(s, text[s : s + size]) for s, size in sorted(places)]
 
 
@@ -70,29 +99,41 @@ def _in_word(text: bytes, at: int) -> bool:
 
 
 class Index:
-    """The q-grams of all segments of a block of items, sorted by hash."""
+    """The q-grams of a block of items, sorted by hash, and the segments that cover them.
+
+    Segments are numbered by kind, then by where they begin in the items' joined bytes, so the ones
+    of a kind that cover a q-gram are neighbours.
+    """
 
     def __init__(self, items: list[tuple[int, bytes]], rate: float = RATE):
-        found = [(item, s, part) for item, text in items for s, part in segments(text)]
-        self.item = np.array([f[0] for f in found], np.int64)
-        self.size = np.array([len(f[2]) for f in found], np.int64)
+        long = [(item, text) for item, text in items if len(text) >= SHORTEST]
+        self.data = np.frombuffer(b"".join(text for _, text in long), np.uint8)
+        begins = np.concatenate([[0], np.cumsum([len(text) for _, text in long])]).astype(np.int64)
+        found: list[list[tuple[np.ndarray, int, int]]] = [[], []]
+        for (item, text), begin in zip(long, begins):
+            for kind, (size, stride) in enumerate(_kinds(len(text))):
+                starts = begin + _starts(len(text), size, stride)
+                found[kind].append((starts, min(size, len(text)), item))
+        flat = [f for kind in found for f in kind]
+        counts = [len(f[0]) for f in flat]
+        self.start = np.concatenate([f[0] for f in flat]) if flat else np.zeros(0, np.int64)
+        self.size = np.repeat(np.array([f[1] for f in flat], np.int64), counts)
+        self.item = np.repeat(np.array([f[2] for f in flat], np.int64), counts)
         self.edits = np.floor(self.size * rate).astype(np.int64)
         self.bound = self.size - Q + 1 - Q * self.edits
-        self.text = np.zeros((len(found), SEGMENT), np.uint8)
-        hashes, owner, offset = [], [], []
-        for i, (_, _, part) in enumerate(found):
-            self.text[i, : len(part)] = np.frombuffer(part, np.uint8)
-            own = R.byte_grams(np.frombuffer(part, np.uint8), Q)
-            hashes.append(own)
-            owner.append(np.full(len(own), i))
-            offset.append(np.arange(len(own)))
-        if found and self.bound.min() < 1:
+        if flat and self.bound.min() < 1:
             raise ValueError("the edit rate leaves no shared q-grams to count")
-        self.hash = np.concatenate(hashes) if found else np.zeros(0, np.uint64)
-        order = np.argsort(self.hash, kind="stable")
-        self.hash = self.hash[order]
-        self.owner = np.concatenate(owner)[order] if found else np.zeros(0, np.int64)
-        self.offset = np.concatenate(offset)[order] if found else np.zeros(0, np.int64)
+        #: First segment of each kind, and of none.
+        self.kinds = np.cumsum([0, *(sum(len(f[0]) for f in kind) for kind in found)])
+        grams = R.byte_grams(self.data, Q) if long else np.zeros(0, np.uint64)
+        # A q-gram across two items is in no segment.
+        inside = np.ones(len(grams), bool)
+        for border in begins[1:-1]:
+            inside[max(0, border - Q + 1) : border] = False
+        place = np.flatnonzero(inside)
+        order = np.argsort(grams[place], kind="stable")
+        self.place = place[order].astype(np.int64 if len(grams) >> 31 else np.int32)
+        self.hash = grams[self.place]
         self.short: dict[int, dict[bytes, list[int]]] = {}
         for item, text in items:
             if 0 < len(text) < SHORTEST:
@@ -102,14 +143,89 @@ class Index:
         self.seen = np.zeros(1 << _FILTER_BITS, bool)
         self.seen[self.hash >> np.uint64(64 - _FILTER_BITS)] = True
 
-    def hits(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position, segment, offset) of all q-grams that the text shares with the index."""
+    def _shared(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions of the text's q-grams that the index holds, and their entries from and to."""
         grams = R.byte_grams(text, Q)
         at = np.flatnonzero(self.seen[grams >> np.uint64(64 - _FILTER_BITS)])
         low = np.searchsorted(self.hash, grams[at], side="left")
-        count = np.searchsorted(self.hash, grams[at], side="right") - low
-        x = R.spread(low, count)
-        return np.repeat(at, count), self.owner[x], self.offset[x]
+        high = np.searchsorted(self.hash, grams[at], side="right")
+        held = high > low
+        return at[held], low[held], high[held]
+
+    def _first_entry(self, low: np.ndarray, high: np.ndarray, place: int) -> np.ndarray:
+        """In each range of entries, the first at ``place`` or behind; a q-gram's are in order."""
+        low, high = low.copy(), high.copy()
+        while len(x := np.flatnonzero(low < high)):
+            middle = (low[x] + high[x]) >> 1
+            before = self.place[middle] < place
+            low[x] = np.where(before, middle + 1, low[x])
+            high[x] = np.where(before, high[x], middle)
+        return low
+
+    def _hits(
+        self, at: np.ndarray, low: np.ndarray, high: np.ndarray, first: int, last: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(position, segment, offset) of the shared q-grams of the segments that begin in bytes
+        ``first .. last - 1`` of the items, in lots of whole segments."""
+        low = self._first_entry(low, high, first)
+        high = self._first_entry(low, high, last + SEGMENT)
+        held = high > low
+        at, low, high = at[held], low[held], high[held]
+        if int((high - low).sum()) * _COVER > HITS and last - first > 1:
+            middle = (first + last) >> 1
+            yield from self._hits(at, low, high, first, middle)
+            yield from self._hits(at, low, high, middle, last)
+            return
+        place = self.place[R.spread(low, high - low)].astype(np.int64)
+        position = np.repeat(at, high - low)
+        segments, positions, places = [], [], []
+        for a, b in zip(self.kinds[:-1], self.kinds[1:]):
+            a, b = a + np.searchsorted(self.start[a:b], [first, last])
+            start, size = self.start[a:b], self.size[a:b]
+            # Of neighbours in order, those that begin at or before a q-gram and end behind it.
+            begin = np.searchsorted(start + size - Q, place, side="left")
+            count = np.maximum(np.searchsorted(start, place, side="right") - begin, 0)
+            segments.append(R.spread(a + begin, count))
+            positions.append(np.repeat(position, count))
+            places.append(np.repeat(place, count))
+        segment = np.concatenate(segments)
+        yield np.concatenate(positions), segment, np.concatenate(places) - self.start[segment]
+
+    def bands(
+        self, text: np.ndarray, seen: set[bytes]
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, bytes, segment, band) with enough shared q-grams, of the whole text or of its windows.
+
+        Band b holds diagonals b*e .. b*e + 2e. Windows in ``seen``, which it adds to, are left out.
+        """
+        at, low, high = self._shared(text)
+        starts, size = np.zeros(1, np.int64), len(text)
+        if int((high - low).sum()) * _COVER > HITS and len(text) > WINDOW + _OVERLAP:
+            starts, size = np.arange(0, len(text) - _OVERLAP, WINDOW), WINDOW + _OVERLAP
+        for start in starts.tolist():
+            part = text[start : start + size]
+            if len(starts) > 1:
+                digest = hashlib.blake2b(part.tobytes(), digest_size=16).digest()
+                if digest in seen:
+                    continue
+                seen.add(digest)
+            a, b = np.searchsorted(at, [start, start + len(part) - Q + 1])
+            for hits in self._hits(at[a:b] - start, low[a:b], high[a:b], 0, len(self.data)):
+                yield (start, part, *self._counted(*hits))
+
+    def _counted(
+        self, position: np.ndarray, segment: np.ndarray, offset: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, band) of the bands that hold enough of the shared q-grams."""
+        width = np.maximum(self.edits[segment], 1)
+        band = (position - offset) // width
+        shift = np.int64(1 << 32)
+        key = np.concatenate([segment * shift + band + (shift >> 1)] * 2)
+        key[len(band) :] -= 1
+        keys, counts = np.unique(key, return_counts=True)
+        found = keys // shift
+        enough = counts >= self.bound[found]
+        return found[enough], (keys[enough] % shift) - (shift >> 1)
 
     def exact(self, text: bytes) -> dict[int, int]:
         """Item and end of the first match of the items under ``SHORTEST`` bytes."""
@@ -125,19 +241,6 @@ class Index:
                             found.setdefault(item, int(at) + n)
         return found
 
-    def bands(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(segment, band) with enough shared q-grams. Band b holds diagonals b*e .. b*e + 2e."""
-        position, segment, offset = self.hits(text)
-        width = np.maximum(self.edits[segment], 1)
-        band = (position - offset) // width
-        shift = np.int64(1 << 40)
-        key = np.concatenate([segment * shift + band + (shift >> 1)] * 2)
-        key[len(band) :] -= 1
-        keys, counts = np.unique(key, return_counts=True)
-        found_segment = keys // shift
-        enough = counts >= self.bound[found_segment]
-        return found_segment[enough], (keys[enough] % shift) - (shift >> 1)
-
     def verify(
         self, text: np.ndarray, segment: np.ndarray, band: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +250,9 @@ class Index:
         for size in np.unique(self.size[segment]):
             x = np.flatnonzero(self.size[segment] == size)
             e = int(max(1, self.edits[segment[x[0]]]))
-            edits[x], ends[x] = _align(text, self.text[segment[x], :size], band[x] * e, 2 * e)
+            for lot in np.array_split(x, -(-len(x) // _LOT)):
+                patterns = self.data[self.start[segment[lot], None] + np.arange(size)]
+                edits[lot], ends[lot] = _align(text, patterns, band[lot] * e, 2 * e)
         return edits, ends
 
 
@@ -173,30 +278,51 @@ def _align(
 def matches_in(index: Index, text: bytes) -> list[tuple[int, int, int, int]]:
     """(item, segments, least edits, end of the first match) for one document's text."""
     data = np.frombuffer(normal(text), np.uint8)
-    overlap = 2 * SEGMENT
-    found: dict[int, list[tuple[int, int, int]]] = {}
-    for at in range(0, max(1, len(data) - overlap), _STEP):
-        part = data[at : at + _STEP + overlap]
-        if len(part) < Q:
+    best: dict[int, tuple[int, int]] = {}
+    seen: set[bytes] = set()
+    for at in range(0, max(1, len(data) - _OVERLAP), _STEP):
+        piece = data[at : at + _STEP + _OVERLAP]
+        if len(piece) < Q:
             continue
-        segment, band = index.bands(part)
-        if not len(segment):
-            continue
-        edits, ends = index.verify(part, segment, band)
-        for s, k, end in zip(segment, edits, ends):
-            if k <= index.edits[s]:
-                found.setdefault(int(index.item[s]), []).append((int(s), int(k), at + int(end)))
-    rows = [
-        (item, len({s for s, _, _ in rows}), min(k for _, k, _ in rows), min(e for *_, e in rows))
-        for item, rows in found.items()
-    ]
+        for start, part, segment, band in index.bands(piece, seen):
+            edits, ends = index.verify(part, segment, band)
+            ok = edits <= index.edits[segment]
+            own, x = np.unique(segment[ok], return_inverse=True)
+            least = np.full(len(own), SEGMENT, np.int64)
+            first = np.full(len(own), len(data), np.int64)
+            np.minimum.at(least, x, edits[ok])
+            np.minimum.at(first, x, ends[ok] + at + start)
+            for s, k, end in zip(own.tolist(), least.tolist(), first.tolist()):
+                k0, end0 = best.get(s, (k, end))
+                best[s] = (min(k, k0), min(end, end0))
+    found: dict[int, tuple[int, int, int]] = {}
+    for s, (k, end) in best.items():
+        item = int(index.item[s])
+        n, k0, end0 = found.get(item, (0, k, end))
+        found[item] = (n + 1, min(k, k0), min(end, end0))
+    rows = [(item, *m) for item, m in found.items()]
     # A null id may stand for several items, short ones among them.
     short = {item: end for item, end in index.exact(data.tobytes()).items() if item not in found}
     return sorted(rows + [(item, 1, 0, end) for item, end in short.items()])
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[int, bytes]]]:
-    """The items in blocks of about ``limit`` bytes, one at a time."""
+#: The index that this worker process used last.
+_LAST: list = [None, None]
+
+
+def _index(block: tuple[str, list[tuple[int, bytes]]], rate: float) -> Index:
+    """The index of a named block, built once by a worker process; it holds one at a time."""
+    if _LAST[0] != (block[0], rate):
+        _LAST[:] = [None, None]
+        _LAST[:] = [(block[0], rate), Index(block[1], rate)]
+    return _LAST[1]
+
+
+def blocks(
+    benchmark: DataFrame, limit: int | None = None
+) -> Iterator[tuple[str, list[tuple[int, bytes]]]]:
+    """A name of its own and the items, of about ``limit`` bytes (else ``BLOCK_BYTES``), of each block."""
+    limit = limit or BLOCK_BYTES
     items = benchmark.select(
         F.coalesce(benchmark["item_id"].cast("long"), F.lit(NULL_ID)).alias("item"),
         text_of(benchmark).alias("text"),
@@ -208,7 +334,7 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tupl
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
     for i in range(n if count else 0):
         rows = items.filter(block == i).collect()
-        yield sorted((r["item"], normal(r["text"].encode())) for r in rows)
+        yield uuid.uuid4().hex, sorted((r["item"], normal(r["text"].encode())) for r in rows)
 
 
 _MATCH = "id long, item long, n_segments long, least_edits long, first_end long"
@@ -223,11 +349,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFr
         text_of(docs).alias("text"),
     )
     out = spark.createDataFrame([], _MATCH)
-    for items in blocks(benchmark):
-        shared = spark.sparkContext.broadcast(items)
+    for block in blocks(benchmark):
+        shared = spark.sparkContext.broadcast(block)
 
         def each(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, rate)
+            index = _index(shared.value, rate)
             for batch in batches:
                 data, off = R.string_buffer(batch.column("text"))
                 ids, found = R.longs(batch, "id"), []
@@ -250,11 +376,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFr
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """``docs`` without the rows that hold a benchmark segment; no shuffle, every column as it was."""
-    for items in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    for block in blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def each(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, rate)
+            index = _index(shared.value, rate)
             for batch in batches:
                 data, off = R.string_buffer(batch.column("text"))
                 texts = (data[a:b].tobytes() for a, b in zip(off[:-1], off[1:]))

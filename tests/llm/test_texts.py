@@ -612,3 +612,59 @@ def test_decontamination_finds_parts_wherever_they_start():
     assert found(b"so ZQ\nforty two.") == {3, 4} and found(b"zq") == {4}
     assert found(b"zqs azq zq1") == set() and found(b"zqs zq") == {4}
     assert found(b"") == set() and found(make(300)) == set()
+
+
+def test_decontamination_in_lots_and_windows_is_the_same(monkeypatch):
+    rng = np.random.default_rng(23)
+    make = lambda n, letters: bytes(rng.choice(list(letters), n).astype(np.uint8))
+    items = [b"x" * 400, b"ab" * 70, make(300, b"ab"), make(150, b"abcdefgh "), b"y" * 61 + make(90, b"abc")]
+    items = [(i, decontaminate.normal(t)) for i, t in enumerate(items)]
+    index = decontaminate.Index(items)
+    texts = [b"x" * 9000, b"ab" * 3000 + b"x" * 90, b"q" * 5000 + items[2][1] + b"y" * 7000]
+    texts += [make(6000, b"ab"), items[3][1][:80] + make(4500, b"ab") + items[3][1], b"xxxxxxx!" * 900]
+    for _ in range(4):
+        part = damaged(items[int(rng.integers(2, 5))][1].decode(), 4, rng).encode()
+        texts.append(make(5000, b"ab") + part + make(3000, b"abcdefgh ") + part)
+    monkeypatch.setattr(decontaminate, "HITS", 1 << 40)
+    whole = [decontaminate.matches_in(index, t) for t in texts]
+    assert {m[0] for found in whole for m in found} == {0, 1, 2, 3, 4}
+    for hits, window in ((60_000, 4096), (3_000, 500), (200, 250)):
+        monkeypatch.setattr(decontaminate, "HITS", hits)
+        monkeypatch.setattr(decontaminate, "WINDOW", window)
+        # An end may be another of several with the same edits where a window cuts the band.
+        for text, rows in zip(texts, whole):
+            found = decontaminate.matches_in(index, text)
+            assert [r[:3] for r in found] == [r[:3] for r in rows]
+            assert all(abs(a[3] - b[3]) <= 2 * decontaminate.SEGMENT * decontaminate.RATE for a, b in zip(found, rows))
+
+
+def test_decontamination_of_repetitive_texts_is_bounded():
+    tracemalloc = pytest.importorskip("tracemalloc")
+    items = [(0, b"x" * 400), (1, b"x" * 200 + b"y" * 90), (2, b"the same words " * 40)]
+    index = decontaminate.Index(items)
+    tracemalloc.start()
+    try:
+        for text in (b"x" * 3_000_000, b"the same words " * 150_000):
+            assert {m[0] for m in decontaminate.matches_in(index, text)} in ({0, 1}, {2})
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 300 << 20
+
+
+def test_index_holds_a_bounded_number_of_bytes():
+    import tracemalloc
+
+    rng = np.random.default_rng(24)
+    items = [(i, rng.integers(97, 123, 4000).astype(np.uint8).tobytes()) for i in range(256)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    try:
+        index = decontaminate.Index(items)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    fixed = index.seen.nbytes
+    assert held - fixed < 30 * size and peak - fixed < 60 * size
+    brute = {(i, s, t[s : s + n]) for i, t in items[:3] for n, step in ((100, 50), (60, 10)) for s in range(0, len(t) - n + 1, step)}
+    assert brute == {(i, s, p) for i, t in items[:3] for s, p in decontaminate.segments(t)}
