@@ -8,7 +8,8 @@ takes as many as fit.
 
 A token is a word, and every document ends in one end mark. Places within a bucket are counted per lane
 of a hash, with a fixed number of lanes, so the bucket that holds most rows is numbered by many
-tasks; counts by bucket and lane give each lane's first number.
+tasks; counts by bucket and lane give each lane's first number. Sequences alike in all columns are counted
+before they are shuffled and numbered as one, so no id fills a lane.
 
 Defined cases: null and empty texts are one sequence of one token; rows alike in id and length
 are interchangeable and get a place each; null ids come first of their lane; an empty table gives an
@@ -20,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .tables import read, stage, text_of
+from .tables import one_by_one, read, stage, text_of
 
 MAX_TOKENS = 2048
 BUCKETS = 8
@@ -86,15 +87,17 @@ def pack(
     if batch_tokens < max_tokens:
         raise ValueError("a batch must hold the longest sequence")
     store = stage(docs.sparkSession)
-    rows = store.table(sequences(docs, max_tokens), "sequences")
+    rows = sequences(docs, max_tokens).groupBy("doc_id", "piece", "start_token", "length")
+    rows = store.table(rows.agg(F.count("*").alias("n")), "sequences")
     # One row for each length: at most ``max_tokens``.
-    counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
+    counts = rows.groupBy("length").agg(F.sum("n").alias("count")).collect()
+    counts = {r["length"]: r["count"] for r in counts}
     upper = boundaries(counts, buckets)
     if not upper:
         upper = [max_tokens]
     bounds = F.array(*[F.lit(u).cast("long") for u in upper])
     bucket = F.expr("size(filter(bounds, b -> b < length))")
-    lane = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(LANES)).cast("int")
+    lane = F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(LANES)).cast("int")
     rows = rows.withColumn("bounds", bounds).withColumn("bucket", bucket).withColumn("lane", lane)
     rows = rows.withColumn("bucket_tokens", F.col("bounds")[F.col("bucket")]).drop("bounds")
     before = (
@@ -102,26 +105,31 @@ def pack(
     )
     first = (
         rows.groupBy("bucket", "lane")
-        .count()
+        .agg(F.sum("n").alias("count"))
         .select("bucket", "lane", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
     )
-    within = Window.partitionBy("bucket", "lane").orderBy("doc_id", "piece", "length")
+    within = (
+        Window.partitionBy("bucket", "lane")
+        .orderBy("doc_id", "piece", "length")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     size = F.floor(F.lit(batch_tokens) / F.col("bucket_tokens"))
     # ``first`` has at most buckets * LANES rows.
-    return (
-        rows.withColumn("at", F.row_number().over(within) - 1)
+    numbered = (
+        rows.withColumn("at", F.coalesce(F.sum("n").over(within), F.lit(0)))
         .join(F.broadcast(first), ["bucket", "lane"])
         .withColumn("at", F.col("first") + F.col("at"))
-        .select(
-            "doc_id",
-            "piece",
-            "start_token",
-            F.col("length").alias("n_tokens"),
-            "bucket",
-            "bucket_tokens",
-            F.floor(F.col("at") / size).alias("batch"),
-            (F.col("at") % size).alias("slot"),
-        )
+        .drop("first", "lane")
+    )
+    return one_by_one(store.table(numbered, "numbered")).select(
+        "doc_id",
+        "piece",
+        "start_token",
+        F.col("length").alias("n_tokens"),
+        "bucket",
+        "bucket_tokens",
+        F.floor(F.col("at") / size).alias("batch"),
+        (F.col("at") % size).alias("slot"),
     )
 
 

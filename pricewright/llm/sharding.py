@@ -6,8 +6,10 @@ permutation of the row numbers. The permuted number gives shard (remainder) and
 the shards' row counts differ by one at most, slots have no gaps, and the shard and slot of a row number
 can be computed, and inverted, without any table.
 
-Row numbers follow the order of (lane of the id's hash, id, checksum, size), with a fixed number of
-lanes, so they depend on the rows alone. Counts by lane give each lane's first number.
+Row numbers follow the order of (lane, id, checksum, size), where the lane is a hash of the other three
+and their number is fixed, so they depend on the rows alone. Rows alike in all three are counted before
+they are shuffled and numbered as one, so neither an id nor a row that is a third of the table fills a
+lane. Counts by lane give each lane's first number.
 
 Defined cases: null and empty texts have size 8 and checksum 0; null ids come first of their lane;
 rows that are alike in id, checksum and size are interchangeable and get a slot each; an empty
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .runs import mix
-from .tables import read, text_of
+from .tables import one_by_one, read, stage, text_of
 
 SHARDS = 24
 SEED = 20_240_607
@@ -61,26 +63,34 @@ def permute(numbers: np.ndarray, total: int, seed: int = SEED, invert: bool = Fa
 
 def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """``doc_id, size, text_crc32, row_number, shard, slot`` of every row."""
+    store = stage(docs.sparkSession)
     text = text_of(docs)
-    lane = F.pmod(F.xxhash64(docs["doc_id"].cast("long")), F.lit(LANES)).cast("int")
+    alike = ["doc_id", "text_crc32", "size"]
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        lane.alias("lane"),
     )
-    counts = docs.groupBy(lane.alias("lane")).count()
+    lane = F.pmod(F.xxhash64(*alike), F.lit(LANES)).cast("int")
+    counted = rows.groupBy(*alike).agg(F.count("*").alias("n")).withColumn("lane", lane)
+    counted = store.table(counted, "counted")
+    counts = counted.groupBy("lane").agg(F.sum("n").alias("count"))
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     before = Window.orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("lane", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("lane").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("lane").orderBy(*alike).rowsBetween(Window.unboundedPreceding, -1)
     numbered = (
-        rows.withColumn("at", F.row_number().over(within) - 1)
+        counted.withColumn("at", F.coalesce(F.sum("n").over(within), F.lit(0)))
         .join(F.broadcast(first), "lane")
         .select(
-            "doc_id", "size", "text_crc32", (F.col("first") + F.col("at")).alias("row_number")
+            "doc_id",
+            "size",
+            "text_crc32",
+            (F.col("first") + F.col("at")).alias("row_number"),
+            "n",
         )
     )
+    numbered = one_by_one(store.table(numbered, "numbered"), "row_number")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

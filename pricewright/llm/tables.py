@@ -68,6 +68,29 @@ def doc_id(column: str = "id") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
 
+#: Equal rows that are numbered by one task.
+RUN = 65_536
+
+
+def one_by_one(counted: DataFrame, at: str = "at", n: str = "n") -> DataFrame:
+    """Each row of a written table ``n`` times, with ``at`` counting on; ``n`` is dropped.
+
+    A row that stands for more than ``RUN`` is cut into runs, which are dealt out.
+    """
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) DIV {RUN}")))
+    hot = (
+        counted.filter(F.col(n) > RUN)
+        .withColumn("run", run)
+        .withColumn(at, F.col(at) + F.col("run") * RUN)
+        .withColumn(n, F.least(F.col(n) - F.col("run") * RUN, F.lit(RUN)))
+        .drop("run")
+        .repartition(at)
+    )
+    rows = counted.filter(F.col(n) <= RUN).unionByName(hot)
+    one = F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    return rows.withColumn("one", one).withColumn(at, F.col(at) + F.col("one")).drop("one", n)
+
+
 def buckets(spark: SparkSession) -> int:
     """Groups that a hash deals packed data into: in proportion to the shuffle partitions,
     which whoever runs the job sizes to the data."""

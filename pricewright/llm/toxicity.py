@@ -100,14 +100,20 @@ def _sparse(docs: DataFrame, keep: list[str]) -> DataFrame:
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """At most about ``rows`` labelled documents: ``doc_id, fold, <categories>, text``.
 
-    The picked labels are broadcast: ``rows`` of them at most, but for the chance of the hash.
+    The picked labels are broadcast: ``rows`` of them at most, but for the chance of the hash. An id
+    stands once, however often it is labelled (by the largest label of each category) or its
+    text is given (by the least one in UTF-8).
     """
     usable = labels.select("doc_id", *CATEGORIES).dropna()
-    share = min(1.0, rows / max(1, usable.count()))
+    share = min(1.0, rows / max(1, usable.select("doc_id").distinct().count()))
     place = F.xxhash64(F.lit("pick"), "doc_id").bitwiseAND(F.lit((1 << 31) - 1))
     picked = usable.filter(place < F.lit(int(share * (1 << 31))))
+    picked = picked.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in CATEGORIES])
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int")
     text = docs.select("doc_id", text_of(docs).alias("text"))
+    # Copies of a document are combined before the texts are shuffled.
+    text = text.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_semi")
+    text = text.groupBy("doc_id").agg(F.min("text").alias("text"))
     return text.join(F.broadcast(picked), "doc_id").withColumn("fold", fold)
 
 
@@ -260,7 +266,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Chain:
             )
 
     # One row for each category.
-    found = table.coalesce(1).mapInArrow(each, "category int, weights binary").collect()
+    ordered = table.coalesce(1).sortWithinPartitions("doc_id")
+    found = ordered.mapInArrow(each, "category int, weights binary").collect()
     weights = {r.category: np.frombuffer(r.weights) for r in found if r.weights is not None}
     known = [weights.get(c) for c in range(len(CATEGORIES))]
     return Chain(

@@ -668,3 +668,38 @@ def test_index_holds_a_bounded_number_of_bytes():
     assert held - fixed < 30 * size and peak - fixed < 60 * size
     brute = {(i, s, t[s : s + n]) for i, t in items[:3] for n, step in ((100, 50), (60, 10)) for s in range(0, len(t) - n + 1, step)}
     assert brute == {(i, s, p) for i, t in items[:3] for s, p in decontaminate.segments(t)}
+
+
+def test_training_rows_are_bounded_where_ids_repeat(spark):
+    # Whichever ids the hash picks, one that holds a third of both tables counts once.
+    ids = list(range(2000))
+    for hot in (3, 4, 5, 6):
+        labels = spark.createDataFrame(
+            [(i, 1, 0) for i in ids] + [(hot, 0, 1)] * 1000, "doc_id long, quality int, toxic int"
+        )
+        docs = spark.createDataFrame(
+            [(i, f"text {i}") for i in ids] + [(hot, "a text"), (hot, None)] * 500, "doc_id long, text string"
+        )
+        every = toxicity.training_rows(docs, labels, 5000).collect()
+        assert sorted(r.doc_id for r in every) == ids
+        own = next(r for r in every if r.doc_id == hot)
+        assert (own.quality, own.toxic, own.text) == (1, 1, "")
+        some = toxicity.training_rows(docs, labels, 200).collect()
+        assert 100 < len(some) < 300 and len({r.doc_id for r in some}) == len(some)
+
+
+def test_places_are_whole_where_rows_repeat(spark, documents, monkeypatch):
+    from pricewright.llm import sharding, tables
+
+    monkeypatch.setattr(tables, "RUN", 7)
+    rows = [(i, "a b " * (i % 9)) for i in range(300)] + [(5, "same row")] * 150 + [(None, None)] * 20
+    rows += [(6, f"other text {i}") for i in range(150)]
+    docs = documents(rows)
+    check_packing(packing.pack(docs).collect(), [t for _, t in rows])
+    placed = sharding.shard(docs).collect()
+    assert sorted(r.row_number for r in placed) == list(range(len(rows)))
+    sized = lambda t: len((t or "").encode()) + 8
+    assert Counter((r.doc_id, r.size) for r in placed) == Counter((d, sized(t)) for d, t in rows)
+    for shard in range(sharding.SHARDS):
+        slots = sorted(r.slot for r in placed if r.shard == shard)
+        assert slots == list(range(len(slots))) and abs(len(slots) - len(rows) / sharding.SHARDS) < 1
