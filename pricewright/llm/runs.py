@@ -362,7 +362,9 @@ def flag_repeats(
             new, sure = np.empty(len(order), bool), runs.again.copy()
             new[order] = ~equal[:-1]
             sure[order] |= equal[:-1] | equal[1:]
-            by, slices = bucket_slices(bucket_of(runs.least, n))
+            # Those need not meet their equals, so a hot hash does not fill the bucket of its own.
+            place = ids[runs.doc].view(np.uint64) ^ mix(runs.pos.astype(np.uint64))
+            by, slices = bucket_slices(bucket_of(np.where(new, runs.least, place), n))
             rows = []
             for b, i, j in slices:
                 x = by[i:j]

@@ -4,9 +4,10 @@ Method: every window of ``window`` consecutive words has a rolling polynomial ha
 2^61 - 1; hashes are grouped, and a window whose hash also occurs in a document with a smaller id is
 removed. Neighbouring removed windows merge into maximal word intervals.
 
-Each window is dealt to the bucket of its smallest word-gram hash (see :mod:`runs`), which equal
-windows share, so only windows whose gram repeats in the corpus are exchanged; within a bucket two
-windows are the same when gram hash and window hash both agree, 125 bits in all.
+Equal windows share their smallest word-gram hash (see :mod:`runs`), so only windows whose gram repeats
+in the corpus are hashed and written, once a batch. Spark aggregates the least id of each (gram hash, window
+hash), 125 bits in all, and joins the windows that two documents have back to their rows: a gram, a
+passage or a document that a third of all rows share is no group of one task.
 
 Defined cases: null and empty texts have no words; texts shorter than a window lose none; null ids
 are one document before all others; rows that share an id are one document, so they never remove
@@ -20,17 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import runs as R
-from .tables import BUCKETED, buckets, keyed, read
+from .tables import keyed, read, stage
 
 WINDOW = 50
 GRAM = 8
 PRIME = (1 << 61) - 1
 _BASE = 0x1B873593CC9E2D51 % PRIME
-_KINDS = (np.uint64, R.Steps, np.int64, np.int64, np.int64, np.uint64)
-_LOCAL = (R.Steps, np.int64, np.int64, np.int64)
+#: Windows of a batch that are sorted at a time.
+LOT = 1 << 21
+NAMES = ["id", "version", "pos", "length", "least", "hashes"]
 
 
 def mulmod(a: np.ndarray, b: int) -> np.ndarray:
@@ -74,35 +76,37 @@ def rolling(units: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
-def _copies(hashes, start, count, least, ids) -> tuple[np.ndarray, np.ndarray]:
-    """(kept, removed): of runs with the same windows, one of the smallest id goes on; those
-    of larger ids are removed, and those of that id go on as well."""
-    n = len(start)
-    kept, removed = np.ones(n, bool), np.zeros(n, bool)
-    if n:
-        label = R.mix(least ^ hashes[start] ^ (count.astype(np.uint64) << np.uint64(40)))
-        label = R.mix(label + hashes[start + count - 1])
-        order = np.lexsort((ids, label))
-        new = np.ones(n, bool)
-        new[1:] = label[order][1:] != label[order][:-1]
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        own, lead = order, order[first]
-        x = np.flatnonzero((ids[own] > ids[lead]) & (count[own] == count[lead]))
-        if len(x):
-            own, lead, size = own[x], lead[x], count[own[x]]
-            differ = hashes[R.spread(start[own], size)] != hashes[R.spread(start[lead], size)]
-            same = np.add.reduceat(differ, np.concatenate([[0], np.cumsum(size)[:-1]])) == 0
-            kept[own[same]], removed[own[same]] = False, True
-    return kept, removed
+def _lots(count: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Neighbouring runs of about ``LOT`` windows together; a run is never cut."""
+    lot = (np.cumsum(count) - count) // LOT
+    at = np.flatnonzero(np.diff(lot, prepend=-1, append=lot[-1] + 1)) if len(lot) else []
+    yield from zip(at[:-1], at[1:])
 
 
-def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``id, version, pos, length``: runs of starts of windows that a smaller id has too."""
+def _known(hashes, least, ids, count) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window, the run that owns it and whether a smaller id here has it too."""
+    owner = np.repeat(np.arange(len(ids)), count)
+    order = np.lexsort((ids[owner], hashes, least[owner]))
+    h, o = hashes[order], owner[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (h[1:] != h[:-1]) | (least[o][1:] != least[o][:-1])
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    known = np.empty(len(order), bool)
+    known[order] = ids[o] > ids[o[first]]
+    return owner, known
+
+
+def candidates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``id, version, pos, length, least, hashes``: runs of starts of windows whose gram repeats.
+
+    A run has its gram hash and the hash of each of its windows; without hashes it is one of
+    windows that a smaller id of the same batch has too, so a window of a group of copies is sent
+    on once a batch.
+    """
     gram = min(GRAM, max(1, window // 2))
-    n = buckets(docs.sparkSession)
     flags = R.flag_repeats(docs, R.word_pieces, window, gram, inner=False)
 
-    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, versions = R.longs(batch, "id"), R.longs(batch, "version")
             marks = R.flags_of(batch)
@@ -116,46 +120,44 @@ def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
             runs = R.batch_runs(R.word_pieces(batch, window), window, gram, False, choose)
             hashes = np.concatenate([np.zeros(0, np.uint64), *parts])
-            doc, pos, count, least = runs.doc, runs.pos, runs.length, runs.least
-            start = np.cumsum(count) - count
-            kept, gone = _copies(hashes, start, count, least, ids[doc])
-            by, slices = R.bucket_slices(R.bucket_of(least, n))
-            rows = []
-            for b, i, j in slices:
-                y = by[i:j]
-                k, g = y[kept[y]], y[gone[y]]
-                whole = (least[k], R.steps(ids[doc[k]]), versions[doc[k]], pos[k], count[k])
-                local = (R.steps(ids[doc[g]]), versions[doc[g]], pos[g], count[g])
-                rows.append((b, R.pack(*whole, hashes[R.spread(start[k], count[k])], *local)))
-            if rows:
-                yield R.emit(rows)
-
-    def compare(table: pa.Table) -> pa.Table:
-        least, ids, versions, pos, count, hashes, *local = R.unpack_all(
-            table.column("blob"), *_KINDS, *_LOCAL
-        )
-        start = np.cumsum(count) - count
-        kept, gone = _copies(hashes, start, count, least, ids)
-        copies = [ids[gone], versions[gone], pos[gone], count[gone]]
-        hashes = hashes[R.spread(start[kept], count[kept])]
-        least, ids, versions, pos, count = (c[kept] for c in (least, ids, versions, pos, count))
-        owner = np.repeat(np.arange(len(ids)), count)
-        order = np.lexsort((ids[owner], hashes, least[owner]))
-        h, o = hashes[order], owner[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (h[1:] != h[:-1]) | (least[o][1:] != least[o][:-1])
-        first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else order
-        found = np.zeros(len(order), bool)
-        found[order] = ids[o] > ids[o[first]]
-        mine = R.intervals(found, owner, ids, versions, pos, count)
-        return R.span_table(*(np.concatenate(c) for c in zip(local, copies, mine)))
-
-    return (
-        R.with_flags(docs, flags)
-        .mapInArrow(ship, BUCKETED)
-        .groupBy("bucket")
-        .applyInArrow(compare, R.SPANS)
+            edge = np.concatenate([[0], np.cumsum(runs.length)])
+            for i, j in _lots(runs.length):
+                doc, pos, count = runs.doc[i:j], runs.pos[i:j], runs.length[i:j]
+                least, own = runs.least[i:j], hashes[edge[i] : edge[j]]
+                owner, known = _known(own, least, ids[doc], count)
+                for marked, open_ in ((known, False), (~known, True)):
+                    who, _, at, length = R.intervals(
+                        marked, owner, np.arange(j - i), versions[doc], pos, count
+                    )
+                    columns = [ids[doc][who], versions[doc][who], at, length]
+                    if open_:
+                        ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                        inner = pa.array(own[marked].view(np.int64))
+                        columns += [least[who].view(np.int64), pa.ListArray.from_arrays(ends, inner)]
+                    else:
+                        columns += [pa.nulls(len(who), t) for t in (pa.int64(), pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], NAMES)
+
+    return R.with_flags(docs, flags).mapInArrow(
+        find, f"{R.SPANS}, least long, hashes array<long>"
+    )
+
+
+def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``id, version, pos, length``: runs of starts of windows that a smaller id has too."""
+    found = stage(docs.sparkSession).table(candidates(docs, window), "windows")
+    windows = found.filter("hashes IS NOT NULL").select(
+        "id", "version", "pos", "least", F.posexplode("hashes").alias("at", "hash")
+    )
+    repeated = (
+        windows.groupBy("least", "hash")
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .filter("first < last")
+        .drop("last")
     )
+    later = windows.join(repeated, ["least", "hash"]).filter("id > first")
+    single = later.selectExpr("id", "version", "pos + at AS pos", "1L AS length")
+    return found.filter("hashes IS NULL").select(single.columns).unionByName(single)
 
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:

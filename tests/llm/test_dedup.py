@@ -11,6 +11,7 @@ from hypothesis import given, settings, strategies as st
 
 from pricewright.llm import runs, suffix_dedup, window_dedup
 from pricewright.llm.queries import QUERIES
+from pricewright.llm.tables import keyed
 
 NULL = -(2**63)
 
@@ -107,6 +108,35 @@ def test_versions_of_one_id(documents):
     assert digest_words(window_dedup.dedup(docs)) == ordered(brute_words(rows))
 
 
+def shared(n):
+    """Documents of their own words around one passage, copies, and one id with many rows."""
+    passage = " ".join(f"p{i}" for i in range(70))
+    own = [(i, " ".join(f"d{i}w{j}" for j in range(60))) for i in range(n)]
+    rows = [(i, f"{text} {passage} {text[::-1]}") for i, text in own]
+    rows += [(n + i, f"{passage} copy {passage}") for i in range(n)]
+    return rows + [(2 * n, f"{passage} version {i}") for i in range(n)]
+
+
+@pytest.mark.parametrize("lot", [40, 1 << 21])
+def test_hot_passage(documents, monkeypatch, lot):
+    monkeypatch.setattr(window_dedup, "LOT", lot)
+    rows = shared(30)
+    table = documents(rows).repartition(5)
+    found = window_dedup.dedup(table).selectExpr(
+        "doc_id", "n_words", "n_removed", "sha2(CAST(text AS BINARY), 256)"
+    )
+    assert ordered(found.collect()) == ordered(brute_words(rows))
+
+
+def test_a_window_of_copies_is_sent_on_once_a_batch(documents):
+    text = " ".join(f"w{i}" for i in range(150))
+    table = keyed(documents([(i, text) for i in range(200)]).repartition(4))
+    sent = window_dedup.candidates(table).filter("hashes IS NOT NULL")
+    per_window = sent.selectExpr("explode(sequence(pos, pos + length - 1)) AS at").groupBy("at")
+    counts = [r["count"] for r in per_window.count().collect()]
+    assert len(counts) == 101 and max(counts) <= 4
+
+
 def test_spans_are_those_removed(documents):
     rows = [(1, "k" * 20 + "".join(chr(97 + i % 26) * 7 for i in range(40))), (2, "y" * 50)]
     rows.append((3, "!" * 10 + rows[0][1][20:180] + "?" * 30))
