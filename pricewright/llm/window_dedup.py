@@ -5,9 +5,10 @@ Method: every window of ``window`` consecutive words has a rolling polynomial ha
 removed. Neighbouring removed windows merge into maximal word intervals.
 
 Equal windows share their smallest word-gram hash (see :mod:`runs`), so only windows whose gram repeats
-in the corpus are hashed and written, once a batch. Spark aggregates the least id of each (gram hash, window
-hash), 125 bits in all, and joins the windows that two documents have back to their rows: a gram, a
-passage or a document that a third of all rows share is no group of one task.
+in the corpus are hashed and written, once a batch. Spark aggregates the least id of each run of windows
+(gram hash and hash of the run), so copies go as whole runs; of runs that share their gram only, it aggregates
+the least id of each window (gram hash and window hash, 125 bits in all). Both are joined back to their rows:
+a gram, a passage or a document that a third of all rows share is no group of one task.
 
 Defined cases: null and empty texts have no words; texts shorter than a window lose none; null ids
 are one document before all others; rows that share an id are one document, so they never remove
@@ -145,8 +146,17 @@ def candidates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``id, version, pos, length``: runs of starts of windows that a smaller id has too."""
-    found = stage(docs.sparkSession).table(candidates(docs, window), "windows")
-    windows = found.filter("hashes IS NOT NULL").select(
+    found = candidates(docs, window).withColumn("run", F.xxhash64("hashes"))
+    found = stage(docs.sparkSession).table(found, "windows")
+    start = ["id", "version", "pos", "length"]
+    runs = found.filter("hashes IS NOT NULL")
+    # Equal runs first: all but those of the least id go whole, without their hashes.
+    least = runs.groupBy("least", "run").agg(F.min("id").alias("first"))
+    copies = runs.select(*start, "least", "run").join(least, ["least", "run"]).filter("id > first")
+    # Then single windows, where different runs have one gram in common.
+    several = least.groupBy("least").count().filter("count > 1").select("least")
+    open_ = least.join(several, "least").withColumnRenamed("first", "id")
+    windows = runs.join(open_, ["least", "run", "id"]).select(
         "id", "version", "pos", "least", F.posexplode("hashes").alias("at", "hash")
     )
     repeated = (
@@ -157,7 +167,8 @@ def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     later = windows.join(repeated, ["least", "hash"]).filter("id > first")
     single = later.selectExpr("id", "version", "pos + at AS pos", "1L AS length")
-    return found.filter("hashes IS NULL").select(single.columns).unionByName(single)
+    known = found.filter("hashes IS NULL").select(start)
+    return known.unionByName(copies.select(start)).unionByName(single)
 
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
