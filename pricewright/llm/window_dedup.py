@@ -146,29 +146,28 @@ def candidates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``id, version, pos, length``: runs of starts of windows that a smaller id has too."""
+    tables = stage(docs.sparkSession)
     found = candidates(docs, window).withColumn("run", F.xxhash64("hashes"))
-    found = stage(docs.sparkSession).table(found, "windows")
+    found = tables.table(found, "windows")
     start = ["id", "version", "pos", "length"]
+    # Equal runs first: all but those of the least id go whole.
     runs = found.filter("hashes IS NOT NULL")
-    # Equal runs first: all but those of the least id go whole, without their hashes.
     least = runs.groupBy("least", "run").agg(F.min("id").alias("first"))
-    copies = runs.select(*start, "least", "run").join(least, ["least", "run"]).filter("id > first")
+    several = least.groupBy("least").agg((F.count("run") > 1).alias("several"))
+    judged = runs.join(least.join(several, "least"), ["least", "run"])
+    judged = judged.filter("several OR id > first").select(
+        *start, "least", F.when(F.col("id") == F.col("first"), F.col("hashes")).alias("hashes")
+    )
+    judged = tables.table(judged, "runs")
     # Then single windows, where different runs have one gram in common.
-    several = least.groupBy("least").count().filter("count > 1").select("least")
-    open_ = least.join(several, "least").withColumnRenamed("first", "id")
-    windows = runs.join(open_, ["least", "run", "id"]).select(
+    windows = judged.filter("hashes IS NOT NULL").select(
         "id", "version", "pos", "least", F.posexplode("hashes").alias("at", "hash")
     )
-    repeated = (
-        windows.groupBy("least", "hash")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        .filter("first < last")
-        .drop("last")
-    )
-    later = windows.join(repeated, ["least", "hash"]).filter("id > first")
+    owners = windows.groupBy("least", "hash").agg(F.min("id").alias("first"))
+    later = windows.join(owners, ["least", "hash"]).filter("id > first")
     single = later.selectExpr("id", "version", "pos + at AS pos", "1L AS length")
-    known = found.filter("hashes IS NULL").select(start)
-    return known.unionByName(copies.select(start)).unionByName(single)
+    whole = [t.filter("hashes IS NULL").select(start) for t in (found, judged)]
+    return whole[0].unionByName(whole[1]).unionByName(single)
 
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
