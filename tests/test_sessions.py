@@ -81,3 +81,30 @@ def test_a_query_on_a_cluster_that_names_no_folder(tmp_path):
         env=environment, cwd=tmp_path, capture_output=True, text=True, timeout=300,
     )
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_a_folder_that_is_not_shared_gives_way_to_the_warehouse(monkeypatch):
+    monkeypatch.setattr(staging, "_is_mounted", lambda spark, folder: False)
+    session = _Session("local-cluster[2,1,1024]", "hdfs://name/warehouse")
+    session.sparkContext.folder = "file:/tmp/own"
+    with pytest.warns(UserWarning, match="file:/tmp/own is no shared store"):
+        assert shared_dir(session) == "hdfs://name/warehouse/pricewright-checkpoints"
+    assert session.sparkContext.folder == "hdfs://name/warehouse/pricewright-checkpoints"
+
+
+def test_a_folder_that_tasks_cannot_write_to_is_not_shared(spark, tmp_path):
+    (tmp_path / "file").write_text("")
+    assert not staging._is_mounted(spark, str(tmp_path / "file" / "checkpoints"))
+
+
+def test_a_query_whose_named_folder_each_executor_has_for_itself(tmp_path):
+    # Every process works in a folder of its own; the staged file of one read as empty in the others.
+    (tmp_path / "conf").mkdir()
+    named = '"spark.checkpoint.dir": "/proc/self/cwd/checkpoints",'
+    run = _RUN.replace("config(map={", "config(map={" + named)
+    environment = os.environ | {"PYTHONPATH": entry.HERE, "SPARK_CONF_DIR": str(tmp_path / "conf")}
+    done = subprocess.run(
+        [sys.executable, "-c", run, str(tmp_path)],
+        env=environment, cwd=tmp_path, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
