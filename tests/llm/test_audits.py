@@ -55,6 +55,56 @@ def test_widening_passes_whole_chunks(made):
     assert token_counts.count_long(made, text, 64, 32) == whole(made, text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(PARTS | st.sampled_from([" word", " a'll", " \x85b", " x\u180e "]), max_size=60).map("".join)))
+def test_counts_by_words_are_those_of_the_whole(made, texts):
+    known = {}
+    for part in (texts, texts[::-1]):
+        got = token_counts.count_texts(made, part, known=known)
+        assert got == [whole(made, text) for text in part]
+    assert all(len(word) <= token_counts.LONGEST for word in known)
+
+
+class _Counting:
+    """A tokenizer that notes how many characters it encodes."""
+
+    def __init__(self, made):
+        self.made, self.model, self.seen = made, made.model, 0
+
+    def get_added_tokens_decoder(self):
+        return self.made.get_added_tokens_decoder()
+
+    def encode_batch_fast(self, texts, **given):
+        self.seen += sum(map(len, texts))
+        return self.made.encode_batch_fast(texts, **given)
+
+
+def test_a_word_is_encoded_once(made, monkeypatch):
+    monkeypatch.setattr(token_counts, "BATCH", 5000)
+    texts = [f"Möwe {i}, die übermütig  über Wörter fliegt.\n" * 40 for i in range(50)]
+    counting = _Counting(made)
+    assert token_counts.count_texts(counting, texts) == [whole(made, text) for text in texts]
+    assert counting.seen < sum(map(len, texts)) / 20
+
+
+def test_few_words_are_kept(made, monkeypatch):
+    monkeypatch.setattr(token_counts, "WORDS", 10)
+    monkeypatch.setattr(token_counts, "BATCH", 100)
+    texts, known = [f"{i} words and {i * i} more" for i in range(300)], {}
+    assert token_counts.count_texts(made, texts, known=known) == [whole(made, t) for t in texts]
+    assert len(known) < 60
+
+
+@pytest.mark.parametrize("added", ["two words", "other"])
+def test_an_added_token_across_a_cut_or_in_a_word(added):
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(token_counts.vocabulary())
+    made.add_tokens([added])
+    texts = ["of two words and another", "two  words or two words"]
+    assert token_counts.count_texts(made, texts) == [whole(made, text) for text in texts]
+
+
 def test_token_counts_of_odd_rows(spark, documents, made, odd):
     rows = [*odd, (20, "<|endoftext|> and <|endoftext|>"), (21, "word " * 512), (22, "word " * 30000)]
     got = token_counts.count_tokens(documents(rows, extra=True), chunk=200, overlap=32).collect()
