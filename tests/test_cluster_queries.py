@@ -16,6 +16,7 @@ import __spark_entry__ as entry
 STAGING = [
     "category_stats",
     "baseline_features",
+    "bottom_categories",
 ]
 
 TABLES = {
