@@ -17,6 +17,7 @@ STAGING = [
     "category_stats",
     "baseline_features",
     "bottom_categories",
+    "category_avg_price_full",
 ]
 
 TABLES = {
