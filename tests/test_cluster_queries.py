@@ -18,6 +18,7 @@ STAGING = [
     "baseline_features",
     "bottom_categories",
     "category_avg_price_full",
+    "category_avg_price_train",
 ]
 
 TABLES = {
