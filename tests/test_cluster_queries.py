@@ -19,6 +19,7 @@ STAGING = [
     "bottom_categories",
     "category_avg_price_full",
     "category_avg_price_train",
+    "category_avg_review_csv",
 ]
 
 TABLES = {
