@@ -20,6 +20,7 @@ STAGING = [
     "category_avg_price_full",
     "category_avg_price_train",
     "category_avg_review_csv",
+    "category_median_sales_csv",
 ]
 
 TABLES = {
