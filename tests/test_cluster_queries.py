@@ -22,6 +22,7 @@ STAGING = [
     "category_avg_review_csv",
     "category_median_sales_csv",
     "category_insert_if_absent",
+    "category_seed_file",
 ]
 
 TABLES = {
