@@ -23,6 +23,7 @@ STAGING = [
     "category_median_sales_csv",
     "category_insert_if_absent",
     "category_seed_file",
+    "category_ranges",
 ]
 
 TABLES = {
