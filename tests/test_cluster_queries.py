@@ -25,6 +25,7 @@ STAGING = [
     "category_seed_file",
     "category_ranges",
     "category_seed_rows",
+    "clean_row_count",
 ]
 
 TABLES = {
