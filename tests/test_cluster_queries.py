@@ -26,6 +26,7 @@ STAGING = [
     "category_ranges",
     "category_seed_rows",
     "clean_row_count",
+    "fit_gbt",
 ]
 
 TABLES = {
