@@ -27,6 +27,7 @@ STAGING = [
     "category_seed_rows",
     "clean_row_count",
     "fit_gbt",
+    "fit_gbt_tuned",
 ]
 
 TABLES = {
