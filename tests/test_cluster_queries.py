@@ -28,6 +28,7 @@ STAGING = [
     "clean_row_count",
     "fit_gbt",
     "fit_gbt_tuned",
+    "fit_linear",
 ]
 
 TABLES = {
