@@ -29,6 +29,7 @@ STAGING = [
     "fit_gbt",
     "fit_gbt_tuned",
     "fit_linear",
+    "fit_tree",
 ]
 
 TABLES = {
