@@ -30,6 +30,7 @@ STAGING = [
     "fit_gbt_tuned",
     "fit_linear",
     "fit_tree",
+    "fit_forest",
 ]
 
 TABLES = {
